@@ -38,7 +38,8 @@ class Table:
 
     def bucket(self) -> Column:
         """The bucket of a row, from its key columns."""
-        return F.expr(f"cast(pmod(xxhash64({', '.join(self.spec.stripe)}), {self.buckets}) as int)")
+        stripe = ", ".join(self.spec.stripe).format(buckets=self.buckets)
+        return F.expr(f"cast(pmod(xxhash64({stripe}), {self.buckets}) as int)")
 
 
 class Layout:

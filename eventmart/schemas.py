@@ -25,8 +25,8 @@ SESSIONS_RAW = (
 class TableSpec:
     """A table's columns, its merge key and how keys spread over buckets.
 
-    ``stripe`` holds SQL expressions over key columns only: a row's bucket can
-    then never change in an update.  Where the key has a natural order (a
+    ``stripe`` holds SQL expressions over key columns only (``{buckets}`` stands
+    for the bucket count): a row's bucket can then never change in an update.  Where the key has a natural order (a
     sequential id, an event time) the stripe follows it, so that a batch of new
     keys lands in few buckets instead of one row in each.
     """
@@ -68,7 +68,7 @@ TABLES: dict[str, TableSpec] = {
         },
         ("session_id",),
         ("session_id",),
-        64,
+        16,
     ),
     "silver.events_cleaned": TableSpec(_EVENT_COLUMNS, ("event_id",), _EVENT_STRIPE, 1024),
     "silver.session_events": TableSpec(
@@ -87,9 +87,9 @@ TABLES: dict[str, TableSpec] = {
             "ingested_at": "timestamp_ntz",
         },
         ("session_id", "event_type", "event_timestamp"),
-        # Four buckets per event day.
-        ("to_date(event_timestamp)", "pmod(xxhash64(session_id), 4)"),
-        1024,
+        # The sessions of a day share a bucket, or several when there are many buckets.
+        ("to_date(event_timestamp)", "pmod(xxhash64(session_id), {buckets} div 256 + 1)"),
+        256,
     ),
     "gold.user_metrics": TableSpec(
         {
@@ -102,7 +102,7 @@ TABLES: dict[str, TableSpec] = {
         },
         ("user_id",),
         ("user_id",),
-        64,
+        16,
     ),
     "gold.session_metrics": TableSpec(
         {
@@ -115,7 +115,7 @@ TABLES: dict[str, TableSpec] = {
         },
         ("session_id",),
         ("session_id",),
-        64,
+        16,
     ),
     "gold.product_metrics": TableSpec(
         {
@@ -128,6 +128,6 @@ TABLES: dict[str, TableSpec] = {
         },
         ("product_id",),
         ("product_id",),
-        16,
+        4,
     ),
 }

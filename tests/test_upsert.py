@@ -1,0 +1,199 @@
+"""The bucketed upsert against a plain model, and its behaviour around failures."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart import DuplicateSourceKey, Layout, merge_log, read_table, settle, upsert
+from eventmart.functions.columns import ntz
+from eventmart.operators import upsert as upsert_module
+
+EVENTS = (
+    "event_id bigint, user_id string, event_type string, product_id string, "
+    "`timestamp` string, ingested_at string"
+)
+
+
+def events(spark, rows, stamp="2024-01-01 00:00:00"):
+    """Rows (event_id, user_id) as bronze events of one stamp."""
+    data = [(i, u, "purchase", "P", "2024-01-01 00:00:00", stamp) for i, u in rows]
+    df = spark.createDataFrame(data, EVENTS)
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "ingested_at")})
+
+
+def stored(spark, table):
+    return Counter((r.event_id, r.user_id) for r in read_table(spark, table).collect())
+
+
+def files(spark, table):
+    rows = spark.read.parquet(table.path).select("_bucket", F.input_file_name().alias("f"))
+    found = {}
+    for row in rows.distinct().collect():
+        found.setdefault(row["_bucket"], set()).add(row["f"])
+    return found
+
+
+@pytest.fixture
+def table(tmp_path):
+    """bronze.events, spread by id over 8 buckets."""
+    spec = Layout(str(tmp_path), 8)["bronze.events"]
+    striped = type(spec.spec)(spec.spec.columns, spec.spec.keys, ("event_id div 10",), 8)
+    return type(spec)(spec.name, striped, 8, spec.path, spec.stage_path, spec.log_path)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_matches_a_plain_merge(spark, table, null_safe, broadcast):
+    """Three random batches with NULL keys, joined by broadcast and by sort-merge."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        if not broadcast:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        rng = random.Random(7)
+        model: Counter = Counter()
+        for batch in range(3):
+            ids = rng.sample(range(200), 40) + [None]
+            rows = [(i, f"u{batch}_{i}") for i in ids]
+            known = {i for i, _ in model if i is not None or null_safe}
+            updated = sum(i in known for i in ids)
+            counts = upsert(events(spark, rows), table, null_safe)
+            assert counts == (len(ids) - updated, updated)
+            replaced = {i for i in ids if i is not None or null_safe}
+            model = Counter({k: n for k, n in model.items() if k[0] not in replaced})
+            model.update(rows)
+            assert stored(spark, table) == model
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_twice_is_once(spark, table):
+    rows = [(i, "a") for i in range(50)]
+    assert upsert(events(spark, rows), table) == (50, 0)
+    assert upsert(events(spark, rows), table) == (0, 50)
+    assert stored(spark, table) == Counter(rows)
+
+
+def buckets(spark, table, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "event_id bigint")
+    return {r.event_id: r.b for r in rows.select("event_id", table.bucket().alias("b")).collect()}
+
+
+def test_only_hit_buckets_are_rewritten(spark, table):
+    upsert(events(spark, [(i, "a") for i in range(0, 100, 2)]), table)
+    before = files(spark, table)
+    bucket = buckets(spark, table, range(100))
+    new = next(i for i in range(1, 100, 2) if bucket[i] != bucket[2])
+    assert upsert(events(spark, [(2, "b"), (3, "b"), (new, "b")]), table) == (2, 1)
+    after = files(spark, table)
+    # Ids 2 and 3 share a bucket, which is hit; the other only gets a file more.
+    assert [b for b in before if not before[b] & after[b]] == [bucket[2]]
+    assert [b for b in before if before[b] < after[b]] == [bucket[new]]
+    assert sum(before[b] == after[b] for b in before) == len(before) - 2
+
+
+def test_insert_only_batch_rewrites_nothing(spark, table):
+    upsert(events(spark, [(i, "a") for i in range(0, 100, 2)]), table)
+    before = files(spark, table)
+    upsert(events(spark, [(i, "b") for i in range(1, 100, 2)]), table)
+    after = files(spark, table)
+    assert all(before[b] < after[b] for b in before)
+
+
+def test_bucket_whose_rows_are_all_replaced(spark, table):
+    upsert(events(spark, [(i, "a") for i in range(10)]), table)
+    assert upsert(events(spark, [(i, "b") for i in range(10)]), table) == (0, 10)
+    assert stored(spark, table) == Counter((i, "b") for i in range(10))
+
+
+def test_duplicate_source_key(spark, table):
+    """Repeated keys are inserted where new, refused where they match, collapsed when updated."""
+    upsert(events(spark, [(1, "a"), (1, "b"), (2, "a")]), table)
+    before = stored(spark, table)
+    assert before == Counter([(1, "a"), (1, "b"), (2, "a")])
+    with pytest.raises(DuplicateSourceKey):
+        upsert(events(spark, [(2, "c"), (2, "d"), (3, "c")]), table)
+    assert stored(spark, table) == before
+    assert upsert(events(spark, [(1, "z")]), table) == (0, 1)
+    assert stored(spark, table) == Counter([(1, "z"), (2, "a")])
+
+
+def test_empty_batch_changes_nothing(spark, table):
+    upsert(events(spark, [(1, "a")]), table)
+    assert upsert(events(spark, []), table) == (0, 0)
+    assert stored(spark, table) == Counter([(1, "a")])
+
+
+def test_unstamped_batch_gets_the_current_time(spark, table):
+    upsert(events(spark, [(1, "a")]).drop("ingested_at"), table)
+    rows = read_table(spark, table)
+    assert rows.filter(F.col("ingested_at") > ntz("2024-06-01")).count() == 1
+
+
+def test_other_bucket_count_is_refused(spark, tmp_path):
+    upsert(events(spark, [(1, "a")]), Layout(str(tmp_path), 4)["bronze.events"])
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        upsert(events(spark, [(1, "a")]), Layout(str(tmp_path), 8)["bronze.events"])
+
+
+@pytest.mark.parametrize("fail_at", ["append", "overwrite", "merged"])
+def test_interrupted_merge_is_completed(spark, table, monkeypatch, fail_at):
+    """A driver lost before, between or after the two writes loses and repeats nothing."""
+    upsert(events(spark, [(i, "a") for i in range(100)] + [(None, "n0")]), table)
+    # One bucket is hit, another only gets new ids; repeated new keys are allowed.
+    bucket = buckets(spark, table, [5, None, *range(1000, 2000)])
+    new = next(i for i in range(1000, 2000) if bucket[i] not in (bucket[5], bucket[None]))
+    batch = [(5, "b"), (new, "b"), (new, "c"), (None, "n1")]
+
+    def broken_write(rows, target, mode, real=upsert_module._write):
+        if mode == fail_at:
+            raise RuntimeError("lost")
+        real(rows, target, mode)
+
+    def broken_log(spark_, target, run, state, *rest, real=upsert_module._log):
+        if state == fail_at:
+            raise RuntimeError("lost")
+        real(spark_, target, run, state, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert_module, "_write", broken_write)
+        patch.setattr(upsert_module, "_log", broken_log)
+        with pytest.raises(RuntimeError, match="lost"):
+            upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+    settle(spark, table)
+    want = Counter([(i, "a") for i in range(100) if i != 5] + [(None, "n0")] + batch)
+    assert stored(spark, table) == want
+    settle(spark, table)
+    assert stored(spark, table) == want
+    logged = merge_log(spark, table).orderBy("logged_at").collect()
+    assert [(r.rows_inserted, r.rows_updated) for r in logged] == [(101, 0), (3, 1)]
+
+
+def test_large_bucket_is_written_by_many_tasks(spark, table):
+    """All rows in one bucket: the write splits by size, not by bucket."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = (
+        spark.range(0, 20000, 1, 8)
+        .select(
+            (F.col("id") % 10).alias("event_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("user_id"),
+            F.lit("purchase").alias("event_type"),
+            F.lit("P").alias("product_id"),
+            ntz("2024-01-01").alias("timestamp"),
+            ntz("2024-01-01").alias("ingested_at"),
+        )
+    )
+    try:
+        spark.conf.set(name, "200KB")
+        upsert(rows, table)
+    finally:
+        spark.conf.unset(name)
+    found = files(spark, table)
+    assert len(found) == 1
+    assert len(next(iter(found.values()))) > 1
+    assert read_table(spark, table).count() == 20000
