@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import eventmart as em
@@ -25,7 +25,6 @@ FLAGSHIP_DIR = "/root/testdata/sf0.001"
 HALF = "2024-01-16"  # last ingest stamp of the target of the upsert queries
 LAST = "2024-01-30"  # last ingest stamp of the first of two batches
 FILE_STAMP = "2024-02-01 06:00:00"  # ingest stamp of the batch loaded from files
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -63,15 +62,18 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The inputs as raw files: events as CSV, sessions as JSON lines."""
     base = scratch(spark)
     events = adapter.bronze_events(spark, sf_dir).drop("ingested_at")
-    events = events.withColumn("timestamp", F.date_format("timestamp", ISO))
+    events = events.withColumn("timestamp", _iso("timestamp"))
     events.write.option("header", True).csv(f"{base}/events")
     sessions = adapter.bronze_sessions(spark, sf_dir).drop("ingested_at")
-    for name in ("start_time", "end_time"):
-        sessions = sessions.withColumn(name, F.date_format(name, ISO))
+    sessions = sessions.withColumns({c: _iso(c) for c in ("start_time", "end_time")})
     sessions.write.json(f"{base}/sessions")
     return f"{base}/events", f"{base}/sessions"
 
 
+def _iso(column: str) -> Column:
+    return F.replace(F.col(column).cast("string"), F.lit(" "), F.lit("T"))
+
+
 def load_files(spark: SparkSession, sf_dir: str) -> Layout:
     """All layers, loaded from raw files in one batch."""
     layout = Layout(scratch(spark))
@@ -141,17 +143,16 @@ def product_metrics_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return em.product_metrics(adapter.bronze_events(spark, sf_dir), LAST, "touched")
 
 
-def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    stamp = F.col("ingested_at")
-    return rows.filter(stamp <= HALF), rows.filter(stamp > HALF)
+def _old() -> Column:
+    return F.col("ingested_at") <= HALF
 
 
 def _upserted_events(spark: SparkSession, sf_dir: str) -> em.Table:
     """Later events, old cart removals turned into purchases, and one row without id."""
     events = adapter.bronze_events(spark, sf_dir)
-    old, new = _split(events)
-    changed = old.filter(F.col("event_type") == "remove_from_cart").withColumn(
-        "event_type", F.lit("purchase")
+    changed = _old() & (F.col("event_type") == "remove_from_cart")
+    batch = events.filter(~_old() | changed).withColumn(
+        "event_type", F.when(changed, "purchase").otherwise(F.col("event_type"))
     )
     no_id = events.agg(
         F.lit(None).cast("bigint").alias("event_id"),
@@ -162,8 +163,8 @@ def _upserted_events(spark: SparkSession, sf_dir: str) -> em.Table:
         F.max("ingested_at").alias("ingested_at"),
     )
     table = Layout(scratch(spark))["bronze.events"]
-    em.upsert(old, table)
-    em.upsert(new.unionByName(changed).unionByName(no_id), table)
+    em.upsert(events.filter(_old()), table)
+    em.upsert(batch.unionByName(no_id), table)
     return table
 
 
@@ -178,13 +179,17 @@ def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later sessions, and old sessions of Oslo with a new owner and no events."""
-    old, new = _split(adapter.bronze_sessions(spark, sf_dir))
-    changed = old.filter(F.col("location.city") == "Oslo").withColumns(
-        {"user_id": F.lit("user_x"), "events": F.slice("events", 1, 0)}
+    sessions = adapter.bronze_sessions(spark, sf_dir)
+    changed = _old() & (F.col("location.city") == "Oslo")
+    batch = sessions.filter(~_old() | changed).withColumns(
+        {
+            "user_id": F.when(changed, "user_x").otherwise(F.col("user_id")),
+            "events": F.when(changed, F.slice("events", 1, 0)).otherwise(F.col("events")),
+        }
     )
     table = Layout(scratch(spark))["bronze.sessions"]
-    em.upsert(old, table)
-    em.upsert(new.unionByName(changed), table)
+    em.upsert(sessions.filter(_old()), table)
+    em.upsert(batch, table)
     return em.read_table(spark, table).select(
         "session_id",
         "user_id",
@@ -200,13 +205,13 @@ def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later session events, and old purchases with another product."""
     flat = em.flatten_sessions(adapter.bronze_sessions(spark, sf_dir))
-    old, new = _split(flat)
-    changed = old.filter(F.col("event_type") == "purchase").withColumn(
-        "product_id", F.lit("PROD_999")
+    changed = _old() & (F.col("event_type") == "purchase")
+    batch = flat.filter(~_old() | changed).withColumn(
+        "product_id", F.when(changed, "PROD_999").otherwise(F.col("product_id"))
     )
     table = Layout(scratch(spark))["silver.session_events"]
-    em.upsert(old, table)
-    em.upsert(new.unionByName(changed), table)
+    em.upsert(flat.filter(_old()), table)
+    em.upsert(batch, table)
     return em.read_table(spark, table)
 
 
@@ -230,10 +235,11 @@ def json_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user report, exported and read again as text."""
+    """The user report, exported and read again."""
     path = scratch(spark)
-    em.write_report_csv(user_behavior(spark, sf_dir), path)
-    return spark.read.option("header", True).csv(path)
+    report = user_behavior(spark, sf_dir)
+    em.write_report_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
 
 
 def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,8 +522,7 @@ FROM gold WHERE CAST(ingested_at AS DATE) BETWEEN '2024-01-01' AND '2024-02-01'"
 SELECT user_id, total_events, num_purchases, num_clicks, conversion_rate
 FROM gold WHERE CAST(ingested_at AS DATE) BETWEEN '2024-01-31' AND '2024-01-31'""",
         "report_csv": f"""WITH {two_users}
-SELECT user_id, total_events::VARCHAR AS total_events, num_purchases::VARCHAR AS num_purchases,
-  num_clicks::VARCHAR AS num_clicks, conversion_rate::VARCHAR AS conversion_rate
+SELECT user_id, total_events, num_purchases, num_clicks, conversion_rate
 FROM gold WHERE CAST(ingested_at AS DATE) BETWEEN '2024-01-31' AND '2024-01-31'""",
         "funnel": f"""WITH {two_products}
 SELECT coalesce(sum(num_views), 0)::BIGINT AS views,

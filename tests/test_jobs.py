@@ -53,8 +53,7 @@ def layout(tmp_path):
     return em.Layout(str(tmp_path / "mart"), 4)
 
 
-@pytest.mark.parametrize("scope", ["batch", "touched"])
-@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("scope, null_safe", [("batch", False), ("touched", True)])
 def test_two_batches(spark, layout, tmp_path, scope, null_safe):
     first = csv(
         tmp_path / "1.csv",
@@ -209,7 +208,8 @@ def test_command_line(tmp_path):
     done = subprocess.run(
         [
             sys.executable, "-m", "eventmart", "--root", str(tmp_path / "mart"),
-            "--events", csv(tmp_path / "1.csv", "1,u,purchase,P"), "--buckets", "2",
+            "--layer", "bronze", "--step", "events", "--buckets", "2",
+            "--events", csv(tmp_path / "1.csv", "1,u,purchase,P"),
         ],
         cwd=Path(__file__).resolve().parent.parent,
         capture_output=True,
@@ -217,4 +217,4 @@ def test_command_line(tmp_path):
         timeout=300,
     )
     assert done.returncode == 0, done.stderr
-    assert "gold.user_metrics: 1 inserted, 0 updated" in done.stdout
+    assert "bronze.events: 1 inserted, 0 updated" in done.stdout

@@ -44,6 +44,9 @@ def _plain(value):
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_matches_sql(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in plan
     columns = sorted(df.columns)
     relation = duck.sql(entry_module.oracle_sql()[name])
     kinds = dict(zip(relation.columns, map(str, relation.types)))

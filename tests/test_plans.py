@@ -68,15 +68,6 @@ def test_top_products_keeps_ten_per_task(spark, layout):
     assert "TakeOrderedAndProject(limit=10" in plan(em.top_products(products, "2024-01-01", "2024-03-01"))
 
 
-def test_no_python_and_no_cross_join(spark, layout):
-    import __spark_entry__ as entry_module
-
-    for name, query in entry_module.queries().items():
-        text = plan(query(spark, SF_DIR))
-        for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-            assert word not in text, name
-
-
 def test_upsert_prunes_buckets_and_rebalances(spark, layout, monkeypatch):
     seen = {}
     real = upsert_module._write
