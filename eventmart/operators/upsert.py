@@ -64,8 +64,13 @@ def upsert(batch: DataFrame, table: Table, null_safe: bool = False) -> MergeCoun
     ``DuplicateSourceKey``, before anything is changed, when a repeated source
     key matches a target row; repeated keys that match none are all inserted.
     """
+    settle(batch.sparkSession, table)
+    return merge_batch(batch, table, null_safe)
+
+
+def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> MergeCounts:
+    """``upsert`` for a caller that has settled the table already."""
     spark = batch.sparkSession
-    settle(spark, table)
     run = uuid.uuid4().hex
     if "ingested_at" not in batch.columns:
         batch = batch.withColumn("ingested_at", F.localtimestamp())

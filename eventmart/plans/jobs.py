@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventmart.functions.columns import Instant, ntz
 from eventmart.layout import Layout, Table
 from eventmart.operators.incremental import high_water_mark, newer_than
-from eventmart.operators.upsert import MergeCounts, settle, upsert
+from eventmart.operators.upsert import MergeCounts, merge_batch, settle, upsert
 from eventmart.plans import gold, silver
 from eventmart.sources.files import Paths, read_events_csv, read_sessions_json
 from eventmart.sources.tables import ensure_tables, read_table
@@ -156,7 +156,7 @@ def _load_silver(
     mark = high_water_mark(spark, table)
     if newer_than(rows, mark).isEmpty():
         return NOTHING
-    return upsert(transform(rows, mark), table, null_safe)
+    return merge_batch(transform(rows, mark), table, null_safe)
 
 
 def _load_gold(
@@ -176,4 +176,4 @@ def _load_gold(
     stamp = newer_than(rows, mark).agg(F.max("ingested_at")).first()[0]
     if stamp is None:
         return NOTHING
-    return upsert(transform(rows, mark, scope, stamp), table, null_safe)
+    return merge_batch(transform(rows, mark, scope, stamp), table, null_safe)

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("eventmart-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.maxMetadataStringLength", "2000")

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import subprocess
-import sys
-from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 
 import eventmart as em
+from eventmart.__main__ import main
 from eventmart.operators.incremental import START, high_water_mark
 
 HEADER = "event_id,user_id,event_type,product_id,timestamp\n"
@@ -53,6 +51,13 @@ def layout(tmp_path):
     return em.Layout(str(tmp_path / "mart"), 4)
 
 
+def load_users(spark, layout, path, stamp):
+    """The event files up to gold.user_metrics only."""
+    counts = em.run(spark, layout, "bronze", "events", events_csv=path, stamp=stamp)
+    counts |= em.run(spark, layout, "silver", "events")
+    return counts | em.run(spark, layout, "gold", "users")
+
+
 @pytest.mark.parametrize("scope, null_safe", [("batch", False), ("touched", True)])
 def test_two_batches(spark, layout, tmp_path, scope, null_safe):
     first = csv(
@@ -126,7 +131,7 @@ def test_two_batches(spark, layout, tmp_path, scope, null_safe):
 
 
 def test_batch_with_no_valid_row(spark, layout, tmp_path):
-    counts = em.run(spark, layout, events_csv=csv(tmp_path / "1.csv", ",u,purchase,P"), stamp=DAY1)
+    counts = load_users(spark, layout, csv(tmp_path / "1.csv", ",u,purchase,P"), DAY1)
     assert counts["bronze.events"] == (1, 0)
     assert counts["silver.events_cleaned"] == (0, 0)
     assert high_water_mark(spark, layout["silver.events_cleaned"]) == START
@@ -155,8 +160,7 @@ def test_high_water_mark(spark, layout, tmp_path):
     assert mark(spark, users) == START  # empty
     with pytest.raises(AnalysisException):
         mark(spark, users, "no_such_column")
-    path = csv(tmp_path / "1.csv", "1,u,purchase,P")
-    em.run(spark, layout, events_csv=path, stamp=DAY1)
+    load_users(spark, layout, csv(tmp_path / "1.csv", "1,u,purchase,P"), DAY1)
     assert mark(spark, users) == dt.datetime(2024, 1, 1, 6)
 
 
@@ -185,13 +189,11 @@ def test_two_users_of_one_new_session_then_an_update(spark, layout):
 
 
 def test_catalog(spark, layout, tmp_path):
-    em.run(spark, layout, events_csv=csv(tmp_path / "1.csv", "1,u,purchase,P"), stamp=DAY1)
+    load_users(spark, layout, csv(tmp_path / "1.csv", "1,u,purchase,P"), DAY1)
     em.register_tables(spark, layout)
     query = "SELECT user_id, num_purchases FROM gold.user_metrics ORDER BY 1"
     assert [tuple(r) for r in spark.sql(query).collect()] == [("u", 1)]
-    em.run(
-        spark, layout, events_csv=csv(tmp_path / "2.csv", "2,v,purchase,P", "3,u,x,P"), stamp=DAY2
-    )
+    load_users(spark, layout, csv(tmp_path / "2.csv", "2,v,purchase,P", "3,u,x,P"), DAY2)
     em.register_tables(spark, layout)
     assert [tuple(r) for r in spark.sql(query).collect()] == [("u", 0), ("v", 1)]
     # The ingest stamp has a default.
@@ -204,17 +206,18 @@ def test_catalog(spark, layout, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_command_line(tmp_path):
-    done = subprocess.run(
-        [
-            sys.executable, "-m", "eventmart", "--root", str(tmp_path / "mart"),
-            "--layer", "bronze", "--step", "events", "--buckets", "2",
-            "--events", csv(tmp_path / "1.csv", "1,u,purchase,P"),
-        ],
-        cwd=Path(__file__).resolve().parent.parent,
-        capture_output=True,
-        text=True,
-        timeout=300,
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    arguments = ["--root", str(tmp_path / "mart"), "--buckets", "2"]
+    path = csv(tmp_path / "1.csv", "1,u,purchase,P")
+    monkeypatch.setattr(
+        "sys.argv",
+        ["eventmart", *arguments, "--layer", "bronze", "--step", "events", "--events", path],
     )
-    assert done.returncode == 0, done.stderr
-    assert "bronze.events: 1 inserted, 0 updated" in done.stdout
+    main()
+    monkeypatch.setattr("sys.argv", ["eventmart", *arguments, "--layer", "silver"])
+    main()
+    assert capsys.readouterr().out.splitlines() == [
+        "bronze.events: 1 inserted, 0 updated",
+        "silver.events_cleaned: 1 inserted, 0 updated",
+        "silver.session_events: 0 inserted, 0 updated",
+    ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ import __spark_entry__ as entry_module
 
 duckdb = pytest.importorskip("duckdb")
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
 
 KINDS = {
