@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import Instant, ntz
 from eventmart.layout import Table
+from eventmart.operators.upsert import last_merged_stamp
 from eventmart.sources.tables import read_if_exists
 
 # Mark of a table that is absent or empty.
@@ -20,12 +21,20 @@ def high_water_mark(
 ) -> dt.datetime:
     """The latest stamp in ``table``; ``START`` if it is absent or empty.
 
-    Only a missing path means a full load; any other read error propagates.
+    Only a missing path means a full load; any other read error propagates.  The
+    merge log tells where the latest stamp should be: rows from there on are tried
+    first, which skips all older row groups.
     """
     df = read_if_exists(spark, table)
     if df is None:
         return START
-    return df.agg(F.max(column)).first()[0] or START
+    latest = None
+    logged = last_merged_stamp(spark, table) if column == "ingested_at" else None
+    if logged is not None:
+        latest = df.filter(F.col(column) >= ntz(logged)).agg(F.max(column)).first()[0]
+    if latest is None:
+        latest = df.agg(F.max(column)).first()[0]
+    return latest or START
 
 
 def newer_than(df: DataFrame, mark: Instant | None, column: str = "ingested_at") -> DataFrame:

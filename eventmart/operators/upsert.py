@@ -25,6 +25,7 @@ files stay until the job commits.  If the driver dies in the middle, ``settle``
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
@@ -39,8 +40,8 @@ from eventmart.sources.tables import read_if_exists
 
 RUN = "_run"
 LOG_DDL = (
-    "run string, state string, buckets int, null_safe boolean, "
-    "rows_inserted bigint, rows_updated bigint, logged_at timestamp"
+    "run string, state string, buckets int, null_safe boolean, rows_inserted bigint, "
+    "rows_updated bigint, last_stamp timestamp_ntz, logged_at timestamp"
 )
 
 
@@ -51,6 +52,15 @@ class MergeCounts(NamedTuple):
     rows_updated: int
 
 
+class Merge(NamedTuple):
+    """What the log keeps of a merge; ``last_stamp`` is the batch's latest ``ingested_at``."""
+
+    run: str
+    null_safe: bool
+    counts: MergeCounts
+    last_stamp: dt.datetime | None
+
+
 class DuplicateSourceKey(ValueError):
     """Two source rows want to update the same target row."""
 
@@ -92,12 +102,13 @@ def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> Merg
         )
     total = sum(row["rows"] for row in touched)
     updated = sum(hit["rows"] for hit in hits)
-    counts = MergeCounts(total - updated, updated)
+    stamps = [row["last_stamp"] for row in touched if row["last_stamp"] is not None]
+    merge = Merge(run, null_safe, MergeCounts(total - updated, updated), max(stamps, default=None))
 
-    _log(spark, table, run, "prepared", null_safe, counts)
+    _log(spark, table, merge, "prepared")
     _write_buckets(spark, table, touched, hits, null_safe)
-    _log(spark, table, run, "merged", null_safe, counts)
-    return counts
+    _log(spark, table, merge, "merged")
+    return merge.counts
 
 
 def settle(spark: SparkSession, table: Table) -> None:
@@ -116,6 +127,7 @@ def settle(spark: SparkSession, table: Table) -> None:
             F.count_if(F.col("state") == "merged").alias("done"),
             F.max("rows_inserted").alias("rows_inserted"),
             F.max("rows_updated").alias("rows_updated"),
+            F.max("last_stamp").alias("last_stamp"),
         )
         .orderBy("done")
         .first()
@@ -134,7 +146,8 @@ def settle(spark: SparkSession, table: Table) -> None:
     hits = _hits(spark, table, touched, last["null_safe"], replay=True)
     _write_buckets(spark, table, touched, hits, last["null_safe"], replay=True)
     counts = MergeCounts(last["rows_inserted"], last["rows_updated"])
-    _log(spark, table, last["run"], "merged", last["null_safe"], counts)
+    merge = Merge(last["run"], last["null_safe"], counts, last["last_stamp"])
+    _log(spark, table, merge, "merged")
 
 
 def merge_log(spark: SparkSession, table: Table) -> DataFrame:
@@ -147,6 +160,12 @@ def merge_log(spark: SparkSession, table: Table) -> DataFrame:
     )
 
 
+def last_merged_stamp(spark: SparkSession, table: Table) -> dt.datetime | None:
+    """The latest ``ingested_at`` that any merge brought, from the log alone."""
+    log = _read_log(spark, table)
+    return None if log is None else log.agg(F.max("last_stamp")).first()[0]
+
+
 def _read_log(spark: SparkSession, table: Table) -> DataFrame | None:
     try:
         return spark.read.schema(LOG_DDL).parquet(table.log_path)
@@ -156,18 +175,18 @@ def _read_log(spark: SparkSession, table: Table) -> DataFrame | None:
         raise
 
 
-def _log(
-    spark: SparkSession, table: Table, run: str, state: str, null_safe: bool, counts: MergeCounts
-) -> None:
+def _log(spark: SparkSession, table: Table, merge: Merge, state: str) -> None:
+    stamp = F.lit(None) if merge.last_stamp is None else ntz(merge.last_stamp)
     (
         spark.range(0, 1, 1, 1)
         .select(
-            F.lit(run).alias("run"),
+            F.lit(merge.run).alias("run"),
             F.lit(state).alias("state"),
             F.lit(table.buckets).cast("int").alias("buckets"),
-            F.lit(null_safe).alias("null_safe"),
-            F.lit(counts.rows_inserted).cast("bigint").alias("rows_inserted"),
-            F.lit(counts.rows_updated).cast("bigint").alias("rows_updated"),
+            F.lit(merge.null_safe).alias("null_safe"),
+            F.lit(merge.counts.rows_inserted).cast("bigint").alias("rows_inserted"),
+            F.lit(merge.counts.rows_updated).cast("bigint").alias("rows_updated"),
+            stamp.cast("timestamp_ntz").alias("last_stamp"),
             F.current_timestamp().alias("logged_at"),
         )
         .write.mode("append")
@@ -180,7 +199,7 @@ def _stage(spark: SparkSession, table: Table) -> DataFrame:
 
 
 def _profile(spark: SparkSession, table: Table, run: str | None = None) -> list[Row]:
-    """Row count and key bounds of the stage: one row per touched bucket."""
+    """Row count, latest stamp and key bounds of the stage: one row per touched bucket."""
     stage = _stage(spark, table)
     if run is not None:
         stage = stage.filter(F.col(RUN) == run)
@@ -188,7 +207,8 @@ def _profile(spark: SparkSession, table: Table, run: str | None = None) -> list[
         F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias(f"_bounds_{key}")
         for key in table.keys
     ]
-    return stage.groupBy(BUCKET).agg(F.count("*").alias("rows"), *bounds).collect()
+    counts = [F.count("*").alias("rows"), F.max("ingested_at").alias("last_stamp")]
+    return stage.groupBy(BUCKET).agg(*counts, *bounds).collect()
 
 
 def _within_bounds(table: Table, touched: Sequence[Row], nulls: bool) -> Column:

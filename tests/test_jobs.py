@@ -10,7 +10,9 @@ from pyspark.errors import AnalysisException
 
 import eventmart as em
 from eventmart.__main__ import main
+from eventmart.functions.columns import ntz
 from eventmart.operators.incremental import START, high_water_mark
+from eventmart.operators.upsert import last_merged_stamp
 
 HEADER = "event_id,user_id,event_type,product_id,timestamp\n"
 DAY1, DAY2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
@@ -162,6 +164,11 @@ def test_high_water_mark(spark, layout, tmp_path):
         mark(spark, users, "no_such_column")
     load_users(spark, layout, csv(tmp_path / "1.csv", "1,u,purchase,P"), DAY1)
     assert mark(spark, users) == dt.datetime(2024, 1, 1, 6)
+    # The stored rows count, whatever the log says.
+    rows = em.read_table(spark, users)
+    em.upsert(rows.withColumn("ingested_at", ntz("2023-01-01")), users)
+    assert last_merged_stamp(spark, users) == dt.datetime(2024, 1, 1, 6)
+    assert mark(spark, users) == dt.datetime(2023, 1, 1)
 
 
 def test_two_users_of_one_new_session_then_an_update(spark, layout):

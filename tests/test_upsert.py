@@ -45,8 +45,7 @@ def table(tmp_path):
     return type(spec)(spec.name, striped, 8, spec.path, spec.stage_path, spec.log_path)
 
 
-@pytest.mark.parametrize("null_safe", [False, True])
-@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("null_safe, broadcast", [(False, True), (False, False), (True, False)])
 def test_matches_a_plain_merge(spark, table, null_safe, broadcast):
     """Three random batches with NULL keys, joined by broadcast and by sort-merge."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
