@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The reference data's operating systems, browsers, cities, country.
+# The operating systems, browsers, cities and country of session data.
 OPERATING_SYSTEMS = ("Windows", "macOS", "Linux", "iOS", "Android")
 BROWSERS = ("Chrome", "Firefox", "Safari", "Edge")
 CITIES = ("Oslo", "Bergen", "Stavanger", "Trondheim")
