@@ -20,6 +20,15 @@ from eventmart import adapter
 from eventmart.layout import Layout
 from eventmart.plans import jobs
 
+try:  # the operators for training data are a part of their own that may be absent
+    from eventmart.llm import queries as training
+except ImportError:
+    training = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 HALF = "2024-01-16"  # last ingest stamp of the target of the upsert queries
@@ -290,7 +299,7 @@ def hist_conversion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
     table = functools.partial
-    return {
+    own = {
         "bronze_events": adapter.bronze_events,
         "clean_events": clean_events,
         "incremental_events": incremental_events,
@@ -326,6 +335,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hist_total_events": hist_total_events,
         "hist_conversion_rate": hist_conversion_rate,
     }
+    if training:
+        own |= training.QUERIES
+    if corpus_pipeline:
+        own["pipeline"] = corpus_pipeline.run
+    return own
 
 
 # SQL twins
@@ -451,7 +465,7 @@ source AS (
     WHERE event_type = 'remove_from_cart' UNION ALL
   SELECT NULL, max(user_id), 'purchase', max(product_id), max("timestamp"), max(ingested_at)
     FROM bronze)"""
-    return {
+    own = {
         "bronze_events": f"WITH {_BRONZE} SELECT * FROM bronze",
         "clean_events": f"""WITH {_BRONZE},
 dirty AS (
@@ -541,3 +555,8 @@ ORDER BY num_purchases DESC, product_id ASC NULLS LAST LIMIT 10""",
         "hist_total_events": _histogram_sql("total_events"),
         "hist_conversion_rate": _histogram_sql("conversion_rate"),
     }
+    if training:
+        own |= training.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
