@@ -104,7 +104,7 @@ def mix(
     )
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
-    last = (
+    last = stored(  # a row for each source: written, its size is known, and Spark broadcasts it if it is small
         sums.withColumn("before", upto - F.col("words"))
         .filter((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
         .select(F.col("source").alias("of"), F.col("bucket").alias("cut"), "before")
@@ -121,3 +121,24 @@ def mix(
         "doc_id", "size", "source", "source_size", "weight", "target",
         (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
     )
+
+
+def repeated(docs: DataFrame, weights: tuple[float, ...] | DataFrame = (1, 2, 3), max_epochs: float = 3.0, seed: int = 42) -> DataFrame:
+    """The mix as rows of ``docs``: each as often as ``mix`` takes it, with the same columns.
+
+    A partial repetition has the first words of the text, up to the end of the last one taken; ``n_chars``
+    follows.  Rows of which nothing is taken are absent.  ``docs`` needs ``doc_id``, ``text``,
+    ``source`` and ``n_chars``; rows that share an id (and a source) are taken alike, by their size.
+    """
+    keys = ["doc_id", "source", "size"]
+    plan = mix(docs, weights, max_epochs, seed=seed).groupBy(*keys).agg(F.max("taken").alias("taken")).filter("taken > 0")
+    plan = plan.toDF("_doc_id", "_source", "_size", "taken")
+    sized = docs.withColumn("size", size_of(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
+    joined = sized.join(plan, same)
+    whole, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
+    parts = F.array_compact(F.concat(F.array_repeat(F.lit(0), whole), F.array(F.when(rest > 0, rest).otherwise(None))))
+    rows = joined.withColumn("part", F.explode(parts))
+    words = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), 0)
+    rows = rows.withColumn("text", F.when(F.col("part") > 0, F.array_join(F.slice(words, F.lit(1), F.col("part")), "")).otherwise(F.col("text")))
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import mixing, packing, simhash
+from eventmart.llm import language, mixing, order_minhash, packing, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,18 +26,47 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_lengths(packing.stored(packing.checksum(pieces)))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; labels of rows with crc32 mod 3 of 1 are held out."""
+    return quality.predict(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of rows with crc32 mod 4 of 2 are held out."""
+    return toxicity.predict(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and their edited texts."""
     return simhash.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; rows with crc32 mod 5 of 0 are held out."""
+    return language.predict(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed with weights 1, 2, 3 in turn, each source at most three times."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of each document."""
+    return order_minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op7_simhash, op9_mixing)
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_quality_classifier,
+        op3_toxicity,
+        op7_simhash,
+        op8_language_id,
+        op9_mixing,
+        op10_order_minhash,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
