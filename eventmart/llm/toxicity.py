@@ -20,7 +20,8 @@ from eventmart.llm.common import held_out, stored, unit
 
 SAMPLE_ROWS = 30_000  # labelled rows that the models are fitted on, about
 MAX_TERMS = 300  # mined voters
-PREFIXES = (4, 5, 6)  # lengths of word beginnings that may be voters
+STRONG = 0.75  # bound on the precision of a term that marks a text by itself
+PREFIXES = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be voters
 
 # Common English insults, as prior knowledge where labels are few.
 INSULTS = [
@@ -41,11 +42,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), "")
 
 
-def mine_terms(sample: DataFrame) -> list[str]:
+def mine_terms(sample: DataFrame) -> dict[str, bool]:
     """Words, and word beginnings written with a ``*``, that mark toxic rows of ``(text, toxic)``.
 
-    A term counts if a one-sided bound on its precision (2.6 standard deviations) is above one half.
-    Spark counts documents by term; the driver sees the ``MAX_TERMS`` best.
+    A term counts if a one-sided bound on its precision (2.6 standard deviations) is above one half; it
+    is strong, the value of the result, if the bound is above ``STRONG``.  Spark counts documents by
+    term; the driver sees the ``MAX_TERMS`` best.
     """
     words = words_of(F.col("text"))
     begins = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
@@ -55,20 +57,22 @@ def mine_terms(sample: DataFrame) -> list[str]:
     share = F.col("p") / F.col("n")
     bound = (share + z2 / (2 * F.col("n")) - F.sqrt(z2 * (share * (1 - share) + z2 / (4 * F.col("n"))) / F.col("n"))) / (1 + z2 / F.col("n"))
     best = counts.filter("p >= 4").withColumn("bound", bound).filter("bound > 0.5")
-    return [r["term"] for r in best.orderBy(F.desc("p"), F.length("term"), "term").limit(MAX_TERMS).collect()]
+    found = best.orderBy(F.desc(F.col("bound") > STRONG), F.desc("p"), F.length("term"), "term").limit(MAX_TERMS).collect()
+    return {r["term"]: r["bound"] > STRONG for r in found}
 
 
 class Voters:
     """Votes of a text: which terms and patterns it has."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: dict[str, bool]):
         self.names = list(dict.fromkeys([*terms, *INSULTS])) + [p.pattern for p in _PATTERNS]
         place = {name: i for i, name in enumerate(self.names)}
         self._words = {t: place[t] for t in self.names[: -len(_PATTERNS)] if not t.endswith("*")}
         self._begins = {t[:-1]: place[t] for t in self.names[: -len(_PATTERNS)] if t.endswith("*")}
         self._lengths = sorted({len(b) for b in self._begins})
         self._starts = {b[: min(PREFIXES)] for b in self._begins}
-        self.lexical = np.array([n not in {p.pattern for p in _PATTERNS} for n in self.names])
+        patterns = {p.pattern for p in _PATTERNS}
+        self.strong = np.array([n not in patterns and terms.get(n, True) for n in self.names])
 
     def votes(self, text: str | None) -> list[int]:
         """Places of the voters that fire; none for a null or empty text."""
@@ -133,17 +137,17 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights + self.bias, -50, 50)))
 
 
-def _designed(votes: np.ndarray, lexical: np.ndarray) -> np.ndarray:
-    """The votes, whether any lexicon voter fires, and how many do by logarithm."""
-    count = votes[:, lexical].sum(axis=1, keepdims=True)
+def _designed(votes: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """The votes, whether any strong voter fires, and how many do by logarithm."""
+    count = votes[:, strong].sum(axis=1, keepdims=True)
     return np.hstack([votes, count > 0, np.log1p(count)])
 
 
-def fit_linear(rows: np.ndarray, posterior: np.ndarray, penalty: float = 1.0, steps: int = 25) -> Linear:
+def fit_linear(rows: np.ndarray, posterior: np.ndarray, penalty: float = 0.3, steps: int = 25) -> Linear:
     """Penalised logistic regression on soft labels by Newton's method."""
     x = np.hstack([rows, np.ones((len(rows), 1))])
     ridge = np.full(x.shape[1], penalty)
-    ridge[-1] = 1e-6
+    ridge[-3:] = 1e-2, 1e-2, 1e-6  # the two summaries and the bias
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
@@ -187,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, learns_from: Column, label_col: st
         return None
     votes = _dense([r["votes"] for r in rows], len(voters.names))
     posterior, discount = label_model(votes, labels_)
-    design = _designed(votes, voters.lexical)
+    design = _designed(votes, voters.strong)
     scale = np.concatenate([np.sqrt(discount), [1, 1]])
     fitted = fit_linear(design * scale, posterior)
     return voters, Linear(fitted.weights * scale, fitted.bias)
@@ -211,7 +215,7 @@ def score(
         for batch in batches:
             if len(batch):
                 votes = _dense([voters.votes(t) for t in batch["text"]], len(voters.names))
-                found = linear.probability(_designed(votes, voters.lexical))
+                found = linear.probability(_designed(votes, voters.strong))
                 yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": found})
 
     return named.mapInPandas(run, "doc_id long, score double")
