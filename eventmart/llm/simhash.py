@@ -147,39 +147,39 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     follows itself.  An empty table gives no rows.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = named.withColumn("n_chars", F.length("text").cast("long")).withColumn("hash", F.xxhash64("text"))
-    links = stored(predecessors(named.select("doc_id", "n_chars")))
-    placed = named.join(links, "doc_id", "left")  # the one shuffle of whole texts
+    links = stored(predecessors(named.select("doc_id", F.length("text").cast("long").alias("n_chars"))))
+    # the one shuffle of whole texts: its columns are the same for both uses, so that Spark runs it once
+    placed = named.join(links, "doc_id", "left").withColumn("hash", F.xxhash64("text"))
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))
     heads = (
         placed.withColumn("row", first)
         .filter("row = 1 and previous is not null")
         .select(F.col("previous").alias("doc_id"), F.expr("substring(text, 1, cast(previous_chars div 2 as int))").alias("head"))
     )
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = placed.join(heads, "doc_id", "left").select(
-        "doc_id", "hash", "n_chars",
-        F.concat(
-            F.substring("text", 1, (F.col("n_chars") - half).cast("int")),
-            F.coalesce(F.substring("head", 1, half), F.lit("")),
-        ).alias("edited"),
+    length = F.length("text")
+    half = F.floor(length / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), length - half), F.coalesce(F.substring("head", F.lit(1), half), F.lit("")))
+    pairs = placed.join(heads, "doc_id", "left").withColumn("edited", edited)
+    texts = pairs.select(
+        "doc_id", "hash", length.cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("sha"),
+        F.posexplode(F.array("text", "edited")).alias("kind", "text"),
+    )
+    keys = ["doc_id", "hash", "n_chars", "sha"]
+    prints = fingerprints(texts, [*keys, "kind"])
+    both = stored(
+        prints.groupBy(*keys).agg(
+            F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
+            F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+        )
     )
-    keys = ["doc_id", "hash"]
-    own = fingerprints(named, keys).withColumnRenamed("fingerprint", "own")
-    edited = fingerprints(
-        edited.withColumn("sha", F.unhex(F.sha2("edited", 256))), [*keys, "n_chars", "sha"], "edited"
-    )
-    own, edited = stored(own), stored(edited)
-    following = own.groupBy("doc_id").agg(F.min_by("own", "hash").alias("next")).join(links, "doc_id")
+    following = both.groupBy("doc_id").agg(F.min_by("fingerprint", "hash").alias("next")).join(links, "doc_id")
     following = following.select(F.col("previous").alias("doc_id"), "next")
-    mine = own.select(F.col("doc_id").alias("id"), F.col("hash").alias("h"), "own")
-    joined = edited.join(mine, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
-    return joined.join(following, "doc_id", "left").select(
+    return both.join(following, "doc_id", "left").select(
         "doc_id",
         "n_chars",
         F.lower(F.hex("sha")).alias("edited_sha256"),
-        F.col("own").alias("fingerprint"),
-        F.col("fingerprint").alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("fingerprint")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        "fingerprint",
+        "edited_fingerprint",
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next")).alias("near_next"),
     )
