@@ -1,13 +1,17 @@
 """Language model by subword lattice: the marginal probability of a text over all its segmentations.
 
-The pieces come from an existing vocabulary; their probabilities are fitted to the words of all training
-documents by expectation-maximisation.  A word with its leading space is a lattice of the pieces
-that match it, and a forward recursion in log space sums over the paths.  No piece reaches
-over a space, so a text's probability is the product over its words and the end.
+A word with its leading space is a lattice.  Its arcs are the pieces of an existing vocabulary that match a
+part of it, and, if training documents have it, the word itself.  A forward recursion in log space
+sums over all paths.  Whole words have their discounted frequencies; the discounts are the
+probability of spelling a word by pieces, whose scores are fitted to the training words by
+expectation-maximisation.  No arc reaches over a space, so a text's probability is the product
+over its words and the end.  There is such a model for each language of the training documents, and
+a text's language is one more hidden choice that is summed over.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -19,8 +23,9 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import held_out, stored
 
 ROUNDS = 3  # of expectation-maximisation, each over all words
-FREQUENT = 100_000  # most frequent words, whose counts tasks get at once; the others' are joined
-CACHED = 400_000  # word probabilities that a worker keeps; then it starts anew
+LANGUAGES = 12  # models of the most frequent languages; documents of all others share one more
+BORROWED = 0.03  # probability that a word follows the mixture of all languages
+FREQUENT = 200_000  # most frequent words, whose counts tasks get at once; the others' are joined
 PRIOR = 0.01  # occurrences that each piece has before any is seen
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,8 +49,8 @@ def vocabulary(path: str) -> list[bytes]:
 class Lattice:
     """Word probabilities, and expected piece counts, of many words at once."""
 
-    def __init__(self, pieces: list[bytes], log_p: np.ndarray):
-        self.log_p = log_p
+    def __init__(self, pieces: list[bytes], log_p: np.ndarray, log_stop: float):
+        self.log_p, self.log_stop = log_p, log_stop
         by_length: dict[int, list[int]] = defaultdict(list)
         for i, p in enumerate(pieces):
             by_length[len(p)].append(i)
@@ -101,16 +106,16 @@ class Lattice:
                 yield np.array(part), np.frombuffer(b"".join(words[i] for i in part), np.uint8).reshape(len(part), length)
 
     def log_probability(self, words: list[bytes]) -> np.ndarray:
-        """Natural logarithm of the probability of each word, which includes its leading space."""
+        """Natural logarithm of the probability that pieces spell each word, which includes its leading space."""
         out = np.zeros(len(words))
         for places, rows in self._blocks(words):
-            out[places] = self._forward(rows, self._arcs(rows))[-1]
+            out[places] = self._forward(rows, self._arcs(rows))[-1] + self.log_stop
         return out
 
-    def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected number of uses of each piece in the words, which occur so many times."""
+    def expected(self, words: list[bytes]) -> np.ndarray:
+        """Expected number of uses of each piece in the words."""
         total = np.zeros(len(self.log_p))
-        for places, rows in self._blocks(words):
+        for _, rows in self._blocks(words):
             arcs = self._arcs(rows)
             alpha = self._forward(rows, arcs)
             beta = np.full(alpha.shape, -np.inf)
@@ -118,7 +123,7 @@ class Lattice:
             for start, end, at, pieces in reversed(arcs):
                 through = self.log_p[pieces] + beta[end, at]
                 beta[start, at] = np.logaddexp(beta[start, at], through)
-                use = np.exp(alpha[start, at] + through - alpha[-1, at]) * counts[places[at]]
+                use = np.exp(alpha[start, at] + through - alpha[-1, at])
                 total += np.bincount(pieces, use, len(total))
         return total
 
@@ -128,111 +133,178 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower()), _SPACES), "")
 
 
-def _normalised(log_counts: np.ndarray, ends: float) -> tuple[np.ndarray, float]:
-    weights = log_counts + PRIOR
-    total = weights.sum() + ends + PRIOR
-    return np.log(weights / total), float(np.log((ends + PRIOR) / total))
+def _normalised(uses: np.ndarray, begins: np.ndarray, words: float) -> tuple[np.ndarray, float]:
+    """Log probabilities of the pieces that begin a word, of those that go on, and of its stop, from their uses."""
+    weights = uses + PRIOR
+    going_on = weights[~begins].sum() + words + PRIOR
+    log_p = np.log(weights / np.where(begins, weights[begins].sum(), going_on))
+    return log_p, float(np.log((words + PRIOR) / going_on))
 
 
-def fit(counts: DataFrame, documents: int, pieces: list[bytes], rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Log probabilities of the pieces and of the end, from rows ``(word, c)`` and the number of documents.
+def fit(words: DataFrame, distinct: list[int], pieces: list[bytes], rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
+    """For each language log probabilities of the pieces and of a word's stop, from rows ``(word, c)``.
 
-    Each round sums expected uses within tasks and by piece in Spark; the driver sees the vocabulary's size.
+    ``c`` has the counts by language, ``distinct`` how many words each has.  What is spelt is a word not yet
+    seen, so each distinct word counts once.  The vocabulary's ranks are the first guess.  Each
+    round sums expected uses within tasks and by piece in Spark; the driver sees as many rows as the
+    vocabulary has, for each language.
     """
+    begins = np.array([p[:1] == b" " for p in pieces])
     rank = 1.0 / (np.arange(len(pieces)) + 100.0)
-    words = counts.agg(F.sum("c")).first()[0] or 0
-    log_p, end = _normalised(rank / rank.sum() * 3.0 * words, documents)
+    models = [_normalised(rank / rank.sum() * 4.0 * n, begins, n) for n in distinct]
     for _ in range(rounds):
 
-        def run(batches: Iterator[pd.DataFrame], log_p=log_p) -> Iterator[pd.DataFrame]:
-            lattice, total = Lattice(pieces, log_p), np.zeros(len(log_p))
+        def run(batches: Iterator[pd.DataFrame], models=models) -> Iterator[pd.DataFrame]:
+            lattices = [Lattice(pieces, *m) for m in models]
+            total = np.zeros((len(models), len(pieces)))
             for batch in batches:
-                total += lattice.expected([b" " + w.encode("utf-8", "replace") for w in batch["word"]], batch["c"].to_numpy(float))
-            used = np.flatnonzero(total)
-            yield pd.DataFrame({"piece": used, "uses": total[used]})
-
-        uses = np.zeros(len(pieces))
-        for r in counts.mapInPandas(run, "piece int, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
-            uses[r["piece"]] = r["uses"]
-        log_p, end = _normalised(uses, documents)
-    return log_p, end
-
-
-def score(docs: DataFrame, learns: Column, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                words, counts = _spaced(batch["word"]), np.array(batch["c"].tolist()).reshape(len(batch), -1)
+                for z, lattice in enumerate(lattices):
+                    total[z] += lattice.expected([words[i] for i in np.flatnonzero(counts[:, z])])
+            z, used = np.nonzero(total)
+            yield pd.DataFrame({"language": z, "piece": used, "uses": total[z, used]})
+
+        uses = np.zeros((len(models), len(pieces)))
+        found = words.mapInPandas(run, "language int, piece int, uses double")
+        for r in found.groupBy("language", "piece").agg(F.sum("uses").alias("uses")).collect():
+            uses[r["language"], r["piece"]] = r["uses"]
+        models = [_normalised(u, begins, n) for u, n in zip(uses, distinct)]
+    return models
+
+
+def _spaced(words) -> list[bytes]:
+    return [b" " + w.encode("utf-8", "replace") for w in words]
+
+
+class Model:
+    """Log10 probabilities of words: by the add-one unigram model, and by each language's lattice."""
+
+    def __init__(self, tokens: int, distinct: int, documents: list[int], words: list[int], forms: list[int], discounts: list[float]):
+        self.divisor = math.log10(tokens + distinct + 1)
+        self.discounts, self.masses = np.array(discounts), np.array(words) + np.array(documents) + 1.0
+        # half of the additional occurrence is an end, half a new word
+        self.spelt = np.log10((self.discounts * np.array(forms) + 0.5) / self.masses)
+        self.ends = np.log10((np.array(documents) + 0.5) / self.masses)
+        self.end_base = math.log10(sum(documents) + 1) - self.divisor
+        self.shares = (np.array(documents) + 0.5) / (sum(documents) + 0.5 * len(documents))
+
+    def words(self, lattices: list[Lattice], words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``base`` by word, and ``lattice`` by word and language, of words that occur so often by language."""
+        base = np.log10(counts.sum(axis=1) + 1) - self.divisor
+        whole = np.maximum(counts - self.discounts, 0) / self.masses
+        by_pieces = np.stack([x.log_probability(words) for x in lattices], axis=1) / math.log(10) + self.spelt
+        own = np.logaddexp(np.log(np.maximum(whole, 1e-300)), by_pieces * math.log(10))
+        mixed = np.logaddexp.reduce(own + np.log(self.shares), axis=1, keepdims=True)
+        return base, np.logaddexp(own + math.log(1 - BORROWED), mixed + math.log(BORROWED)) / math.log(10)
+
+
+def score(
+    docs: DataFrame, learns: Column, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
     """Rows ``(doc_id, n_tokens, n_known, train_tokens, base_score, score)``, one for each row of ``docs``.
 
-    ``learns`` is a condition on ``doc_id`` that picks the training documents.  Tokens are words with A-Z in
-    lower case, and one end.  ``base_score`` is the add-one unigram model's log10 probability,
-    ``score`` the lattice's.  Null text: empty, the end alone.  Null ids are kept (``learns`` decides on
-    them), repeated rows count each.  Without training documents every piece keeps its
-    prior.  An empty table gives no rows.
+    ``learns`` is a condition on ``doc_id`` that picks the training documents, whose ``lang`` sorts their words;
+    no other language is looked at.  Tokens are words with A-Z in lower case, and one end.
+    ``base_score`` is the add-one unigram model's log10 probability, ``score`` the lattice's: a word of count
+    c has (c - discount) / N for itself, and the discounts' share of what its pieces say.
+
+    Null text: empty, the end alone.  Null ids are kept (``learns`` decides on them), repeated rows
+    count each, a null language is one of its own.  Without training documents all words are spelt,
+    with the first guess of the scores.  An empty table gives no rows.
     """
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     pieces = vocabulary(vocabulary_path)
     train = named.filter(learns)
-    counts = stored(train.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")))
-    documents = train.count()
-    seen = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
-    tokens, distinct = seen["n"] + documents, seen["v"] + (documents > 0)
-    log_p, log_end = fit(counts, documents, pieces)
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT)
-    frequent = {r["word"].encode("utf-8", "replace"): r["c"] for r in top.toLocalIterator()}
-    divisor = np.log10(tokens + distinct + 1)
-    end_base = np.log10(documents + 1) - divisor
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice = Lattice(pieces, log_p)
-        known: dict[bytes, float] = {}
+    sizes = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    total = train.count()
+    documents = [r["count"] for r in sizes] + [total - sum(r["count"] for r in sizes)]
+    classes = len(documents)
+    place = F.coalesce(*[F.when(F.col("lang").eqNullSafe(F.lit(r["lang"])), F.lit(z)) for z, r in enumerate(sizes)], F.lit(classes - 1))
+    if documents[-1] == 0 and sizes:
+        documents, classes = documents[:-1], classes - 1
+    by_class = [F.count(F.when(F.col("z") == z, 1)) for z in range(classes)]
+    counts = train.select(place.alias("z"), F.explode(words_of(F.col("text"))).alias("word"))
+    counts = stored(counts.groupBy("word").agg(F.array(*by_class).alias("c")))
+    c = [F.col("c")[z] for z in range(classes)]
+    seen = counts.agg(
+        F.count("*").alias("v"),
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(f"n{z}") for z, x in enumerate(c)],
+        *[F.count(F.when(x == i, 1)).alias(f"of{i}_{z}") for z, x in enumerate(c) for i in (0, 1, 2)],
+    ).first()
+    words, forms = ([seen[f"n{z}"] for z in range(classes)], [seen["v"] - seen[f"of0_{z}"] for z in range(classes)])
+    discounts = [min(0.95, max(0.05, seen[f"of1_{z}"] / max(1, seen[f"of1_{z}"] + 2 * seen[f"of2_{z}"]))) for z in range(classes)]
+    tokens = sum(words) + total
+    model = Model(tokens, seen["v"] + (total > 0), documents, words, forms, discounts)
+    fitted = fit(counts, forms, pieces)
+    top = counts.orderBy(F.desc(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)), "word").limit(FREQUENT)
+    frequent = [(r["word"].encode("utf-8", "replace"), r["c"]) for r in top.toLocalIterator()]
+    sums = [f"s{z}" for z in range(classes)]
+
+    def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = {w: i for i, (w, _) in enumerate(frequent)}
+        if place:
+            table = np.array([c for _, c in frequent], float).reshape(len(frequent), -1)
+            base, own = model.words([Lattice(pieces, *m) for m in fitted], [b" " + w for w in place], table)
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                part = batch.iloc[low : low + 500]
-                bags = [Counter((t or "").encode("utf-8", "replace").translate(_LOWER).split()) for t in part["text"]]
-                if len(known) > CACHED:
-                    known = {}
-                new = list({w for bag in bags for w in bag if w not in known})
-                known.update(zip(new, lattice.log_probability([b" " + w for w in new]).tolist()))
-                heads, rare = [], ([], [], [])
-                for key, doc_id, bag in zip(part["key"], part["doc_id"], bags):
-                    size, found, base, total = 1, int(documents > 0), end_base, log_end
-                    for w, n in bag.items():
-                        size += n
-                        total += n * known[w]
-                        c = frequent.get(w)
-                        if c is None:
-                            rare[0].append(key)
-                            rare[1].append(w.decode())
-                            rare[2].append(n)
-                        else:
-                            found += n
-                            base += n * (np.log10(c + 1) - divisor)
-                    heads.append((key, doc_id, size, found, base, total / np.log(10)))
-                yield pd.concat(
-                    [
-                        pd.DataFrame(heads, columns=["key", "doc_id", "n_tokens", "n_known", "base_score", "score"]).astype({"doc_id": "Int64"}),
-                        pd.DataFrame({"key": rare[0], "word": rare[1], "n": rare[2]}),
-                    ]
-                ).reindex(columns=["key", "doc_id", "n_tokens", "n_known", "base_score", "score", "word", "n"]).astype(
-                    {c: "Int64" for c in ("doc_id", "n_tokens", "n_known", "n")}
-                )
-
+            heads, rare = [], ([], [], [])
+            for key, doc_id, text in zip(batch["key"], batch["doc_id"], batch["text"]):
+                bag = Counter((text or "").encode("utf-8", "replace").translate(_LOWER).split())
+                at, times = [], []
+                for w, n in bag.items():
+                    i = place.get(w)
+                    if i is None:
+                        rare[0].append(key)
+                        rare[1].append(w.decode())
+                        rare[2].append(n)
+                    else:
+                        at.append(i)
+                        times.append(n)
+                times = np.array(times, float)
+                sized = base[at] @ times if at else 0.0
+                by_language = times @ own[at] if at else np.zeros(classes)
+                heads.append((key, doc_id, sum(bag.values()) + 1, int(times.sum()) + (total > 0), sized + model.end_base, *by_language))
+            head = pd.DataFrame(heads, columns=["key", "doc_id", "n_tokens", "n_known", "base_score", *sums])
+            both = pd.concat([head.astype({"doc_id": "Int64"}), pd.DataFrame({"key": rare[0], "word": rare[1], "n": rare[2]})])
+            yield both.reindex(columns=[*head.columns, "word", "n"]).astype({x: "Int64" for x in ("doc_id", "n_tokens", "n_known", "n")})
+
+    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lattices = [Lattice(pieces, *m) for m in fitted]
+        for batch in batches:
+            if not len(batch):
+                continue
+            code, forms = pd.factorize(batch["word"])
+            table = np.zeros((len(forms), classes))
+            for i, c in zip(code, batch["c"]):
+                if c is not None:
+                    table[i] = c
+            base, own = model.words(lattices, _spaced(forms), table)
+            n = batch["n"].to_numpy(float)
+            found = pd.DataFrame({"key": batch["key"], "n_known": n * (table.sum(axis=1)[code] > 0), "base_score": n * base[code]})
+            found[sums] = n[:, None] * own[code]
+            yield found.groupby("key", as_index=False).sum().astype({"n_known": "int64"})
+
+    by_class = ", ".join(f"{x} double" for x in sums)
     rows = stored(
         named.withColumn("key", F.monotonically_increasing_id()).mapInPandas(
-            run, "key long, doc_id long, n_tokens long, n_known long, base_score double, score double, word string, n long"
+            bags, f"key long, doc_id long, n_tokens long, n_known long, base_score double, {by_class}, word string, n long"
         )
     )
     rare = rows.filter("word is not null").select("key", "word", "n").join(counts, "word", "left")
-    rest = rare.groupBy("key").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
-        F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - F.lit(float(divisor)))).alias("rest"),
-    )
-    joined = rows.filter("word is null").drop("word", "n").join(rest, "key", "left")
+    more = rare.select("key", "word", "n", "c").mapInPandas(rest, f"key long, n_known long, base_score double, {by_class}")
+    more = more.groupBy("key").agg(*[F.sum(x).alias(f"more_{x}") for x in ("n_known", "base_score", *sums)])
+    joined = rows.filter("word is null").join(more, "key", "left")
+    whole = {x: F.col(x) + F.coalesce(F.col(f"more_{x}"), F.lit(0)) for x in ("n_known", "base_score", *sums)}
+    # log of the sum over the languages, from the largest term on
+    terms = [whole[x] + F.lit(float(e + np.log10(p))) for x, e, p in zip(sums, model.ends, model.shares)]
+    most = F.greatest(*terms) if classes > 1 else terms[0]
+    over = sum((F.pow(F.lit(10.0), t - most) for t in terms[1:]), F.pow(F.lit(10.0), terms[0] - most))
     return joined.select(
         "doc_id",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        whole["n_known"].alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-        "score",
+        whole["base_score"].alias("base_score"),
+        (most + F.log10(over)).alias("score"),
     )
 
 
