@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import language, lattice_lm, mixing, order_minhash, packing, quality, simhash, token_counts, toxicity
+from eventmart.llm import ann, language, lattice_lm, mixing, order_minhash, packing, quality, simhash, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for each vector whose id is divisible by 20."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of tokens of all documents."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_quality_classifier,
         op3_toxicity,
+        op4_multiprobe_ann,
         op5_token_counts,
         op6_lattice_lm,
         op7_simhash,

@@ -1,8 +1,8 @@
 """Token counts by count-only Viterbi over an existing unigram vocabulary.
 
 Aho-Corasick enumerates the pieces that match; dynamic programming carries the best score and its number
-of pieces, never the pieces.  Scores are added in single precision along the whole text and ties go to
-the earliest start, as SentencePiece does it, so the counts are its counts to the piece.
+of pieces, never the pieces.  Ties go to the earliest start, as in SentencePiece, so the counts are its
+counts to the piece.
 """
 
 from __future__ import annotations
@@ -24,10 +24,9 @@ _UNKNOWN = 10.0  # what an unknown character scores below the worst piece
 class Viterbi:
     """Number of pieces and score of the best segmentation of a text.
 
-    Between characters that no longer piece joins a text falls into stretches that affect each
-    other only by how the running score is rounded.  Where all scores are whole numbers that depends on
-    the size (the power of two) and the parity of the running score alone, so results of
-    stretches are kept by these.  Otherwise each text is one stretch.
+    A text falls into stretches where no piece joins two characters.  If all scores are whole numbers,
+    their sums are exact and a stretch has the same best path in any text, so its result is
+    kept.  Otherwise sums are rounded along the text, and each text is one stretch.
     """
 
     def __init__(self, path: str):
@@ -49,7 +48,7 @@ class Viterbi:
         for p, score in pieces.items():
             self._matches.add_word(p, (len(p), score))
         self._matches.make_automaton()
-        self._whole = all(s.is_integer() for s in [*pieces.values(), self._unknown]) and all(s <= 0 for s in pieces.values())
+        self._whole = all(s.is_integer() for s in [*pieces.values(), self._unknown])
         joined = {c for p in pieces if len(p) > 1 for c in p}
         inner = {c for p in pieces if len(p) > 1 for a, c in zip(p, p[1:]) if c == "▁" and a != "▁"}
         if not self._whole:
@@ -59,26 +58,24 @@ class Viterbi:
         else:  # spaces stand only at the beginning of pieces
             letters = re.escape("".join(sorted(joined - {"▁"})))
             self._stretches = re.compile(f"▁+[{letters}]*|[{letters}]+|.", re.S)
-        self._worst = int(-self._unknown) + 1
-        self._kept: dict[tuple[int, int], dict[str, tuple[int, int]]] = {}
-        self._size = 0
+        self._kept: dict[str, tuple[float, int]] = {}
 
-    def best(self, text: str, start: float = 0.0) -> tuple[float, int]:
-        """Score of the best path that begins with the given score, and its number of pieces."""
+    def best(self, text: str) -> tuple[float, int]:
+        """Score of the best path and its number of pieces."""
         n = len(text)
-        scores, counts, unknown = [start] + [None] * n, [0] * (n + 1), [False] * (n + 1)
+        scores, counts, unknown = [0.0] + [None] * n, [0] * (n + 1), [False] * (n + 1)
         matches = self._matches.iter(text)
         found = next(matches, None)
         for end in range(1, n + 1):
             top = None
             while found is not None and found[0] == end - 1:  # longest first: the earliest start wins a tie
                 length, score = found[1]
-                value = float(np.float32(scores[end - length] + score))
+                value = scores[end - length] + score
                 if top is None or value > top:
                     top, counts[end], unknown[end] = value, counts[end - length] + 1, False
                 found = next(matches, None)
             if text[end - 1] not in self._single:
-                value = float(np.float32(scores[end - 1] + self._unknown))
+                value = scores[end - 1] + self._unknown
                 if top is None or value > top:
                     more = len(text[end - 1].encode("utf-8", "replace")) if self._bytes else int(not unknown[end - 1])
                     top, counts[end], unknown[end] = value, counts[end - 1] + more, True
@@ -93,35 +90,16 @@ class Viterbi:
         if not self._whole:
             score, count = self.best(text)
             return count, score
-        if self._size > CACHED:
-            self._kept, self._size = {}, 0
-        running, total, level, limit = 0, 0, 0, 1 << 24  # minus the score; its spacing is 2 ** level below the limit
+        if len(self._kept) > CACHED:
+            self._kept = {}
+        kept, total, sum_ = self._kept, 0, 0.0
         for stretch in self._stretches.findall(text):
-            reach = running + (len(stretch) + 1) * self._worst
-            if reach >= limit:
-                while running >= limit:
-                    level, limit = level + 1, limit << 1
-                if reach >= limit:  # the spacing may change within the stretch
-                    score, count = self.best(stretch, float(-running))
-                    running, total = int(-score), total + count
-                    continue
-            parity = running >> level & 1 if level else 0
-            kept = self._kept.get((level, parity))
-            if kept is None:
-                kept = self._kept[level, parity] = {}
             known = kept.get(stretch)
             if known is None:
-                base = (1 << 23 + level) + (parity << level) if level else 0
-                if level and base + (len(stretch) + 1) * self._worst >= base << 1:
-                    score, count = self.best(stretch, float(-running))
-                    running, total = int(-score), total + count
-                    continue
-                score, count = self.best(stretch, float(-base))
-                known = kept[stretch] = int(-score) - base, count
-                self._size += 1
-            running += known[0]
+                known = kept[stretch] = self.best(stretch)
+            sum_ += known[0]
             total += known[1]
-        return total, float(-running)
+        return total, sum_
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
