@@ -42,6 +42,12 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), "")
 
 
+def _beginnings(words: Column, length: int) -> Column:
+    """The beginnings of the longer words, each with a ``*``."""
+    longer = F.filter(words, lambda w: F.length(w) > length)
+    return F.transform(longer, lambda w: F.concat(F.substring(w, 1, length), F.lit("*")))
+
+
 def mine_terms(sample: DataFrame) -> dict[str, bool]:
     """Words, and word beginnings written with a ``*``, that mark toxic rows of ``(text, toxic)``.
 
@@ -50,7 +56,7 @@ def mine_terms(sample: DataFrame) -> dict[str, bool]:
     term; the driver sees the ``MAX_TERMS`` best.
     """
     words = words_of(F.col("text"))
-    begins = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
+    begins = [_beginnings(words, n) for n in PREFIXES]
     terms = sample.select("toxic", F.explode(F.array_distinct(F.concat(words, *begins))).alias("term"))
     counts = terms.groupBy("term").agg(F.sum("toxic").cast("double").alias("p"), F.count("*").cast("double").alias("n"))
     z2 = 2.6**2
