@@ -263,9 +263,14 @@ def score(
                 sized = base[at] @ times if at else 0.0
                 by_language = times @ own[at] if at else np.zeros(classes)
                 heads.append((key, doc_id, sum(bag.values()) + 1, int(times.sum()) + (total > 0), sized + model.end_base, *by_language))
+            if not heads:
+                continue
             head = pd.DataFrame(heads, columns=["key", "doc_id", "n_tokens", "n_known", "base_score", *sums])
-            both = pd.concat([head.astype({"doc_id": "Int64"}), pd.DataFrame({"key": rare[0], "word": rare[1], "n": rare[2]})])
-            yield both.reindex(columns=[*head.columns, "word", "n"]).astype({x: "Int64" for x in ("doc_id", "n_tokens", "n_known", "n")})
+            more = pd.DataFrame({"key": rare[0], "word": pd.Series(rare[1], dtype=object), "n": rare[2]})
+            both = pd.concat([head.assign(word=None), more]) if len(more) else head.assign(word=None, n=None)
+            both = both.reindex(columns=[*head.columns, "word", "n"])
+            both["word"] = both["word"].astype(object).where(both["word"].notna(), None)
+            yield both.astype({"key": "int64"} | {x: "Int64" for x in ("doc_id", "n_tokens", "n_known", "n")})
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattices = [Lattice(pieces, *m) for m in fitted]

@@ -201,7 +201,7 @@ def pack(
     """
     pieces = stored(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn("key", F.monotonically_increasing_id()))
     groups = max(1, math.ceil(pieces.count() / group_rows))
-    placed = pieces.select("key", "length").repartition(groups).mapInPandas(_packed(capacity), "key long, sequence_id long, offset long")
+    placed = pieces.select("key", "length").repartition(groups).mapInPandas(_packed(capacity, ["key"]), "key long, sequence_id long, offset long")
     return pieces.join(placed, "key").drop("key")
 
 
@@ -210,10 +210,10 @@ def pack_lengths(pieces: DataFrame, capacity: int = 2048, group_rows: int = 50_0
     groups = max(1, math.ceil(pieces.count() / group_rows))
     dealt = pieces.repartition(groups)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    return dealt.mapInPandas(_packed(capacity), f"{schema}, sequence_id long, offset long")
+    return dealt.mapInPandas(_packed(capacity, dealt.columns), f"{schema}, sequence_id long, offset long")
 
 
-def _packed(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _packed(capacity: int, columns: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -224,7 +224,7 @@ def _packed(capacity: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
             first = TaskContext.get().partitionId() << 32
             table["sequence_id"] = np.asarray(bins, "int64") + first
             table["offset"] = np.asarray(offsets, "int64")
-            yield table
+            yield table[[*columns, "sequence_id", "offset"]]
 
     return run
 

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from eventmart.llm import packing
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _check_places(rows, capacity):
+    """Sequences are gapless from 0 and within the capacity."""
+    by = defaultdict(list)
+    for sequence, offset, length in rows:
+        by[sequence].append((offset, length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def test_best_two_fit_is_whole_and_tight():
+    rng = random.Random(5)
+    for _ in range(150):
+        lengths = [rng.choice([rng.randint(1, 30), rng.randint(1, 100)]) for _ in range(rng.randint(0, 80))]
+        bins, offsets = packing.best_two_fit(lengths, 100)
+        count = _check_places(zip(bins, offsets, lengths), 100)
+        assert count <= 1 + 2 * sum(lengths) / 100
+
+
+def test_replaces_the_smallest_by_two():
+    # greedy takes 60 and then 30; 22 and 18 fit the gap that 30 leaves exactly
+    bins, _ = packing.best_two_fit([60, 30, 22, 18], 100)
+    assert bins[0] == bins[2] == bins[3] != bins[1]
+
+
+def test_refuses_lengths_that_do_not_fit():
+    with pytest.raises(ValueError):
+        packing.best_two_fit([101], 100)
+
+
+def test_ids_are_the_tokenizers(odd, documents):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = [r.text or "" for r in [*odd.collect(), *documents.limit(60).collect()]]
+    for text, ids in zip(texts, packing.WordIds(TOKENIZER).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_pack_round_trip(odd):
+    rows = packing.pack(odd, TOKENIZER, capacity=2048, group_rows=4).collect()
+    _check_places([(r.sequence_id, r.offset, r.length) for r in rows], 2048)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want = sorted(repr((r.doc_id, tokenizer.encode(r.text or "", add_special_tokens=False).ids + [0])) for r in odd.collect() if r.doc_id != 1)
+    pieces = defaultdict(list)
+    for r in rows:
+        if r.doc_id != 1:
+            pieces[r.doc_id].append(r)
+    got = []
+    for doc_id, own in pieces.items():
+        own.sort(key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(len(own)))
+        assert all(r.length == 2048 for r in own[:-1])
+        got.append(repr((doc_id, np.frombuffer(b"".join(bytes(r.ids) for r in own), "<u4").tolist())))
+    assert sorted(got) == want
+    assert sum(r.doc_id == 1 for r in rows) == 2  # a repeated row is packed twice
+
+
+def test_pack_lengths_and_checksum(documents):
+    pieces = packing.checksum(packing.token_pieces(documents, TOKENIZER))
+    rows = packing.pack_lengths(packing.stored(pieces)).collect()
+    used = _check_places([(r.sequence_id, r.offset, r.length) for r in rows], 2048)
+    assert used <= np.ceil(sum(r.length for r in rows) / 2048) * 1.02 + 1
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    for r in rows[:40]:
+        ids = [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 0][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.asarray(ids, "<u4").tobytes())
+
+
+def test_empty_table(none):
+    assert packing.pack(none, TOKENIZER).count() == 0
