@@ -359,8 +359,7 @@ bronze AS (
 _FLAT = f"""{_BRONZE},
 keyed AS (
   SELECT *, CAST(substr(user_id, 6) AS INTEGER) AS number,
-    'sess_' || substr(user_id, 6) || '_' || strftime("timestamp", '%Y%m%d') || '_'
-      || (event_id // {adapter.SESSION_BLOCK}) AS session_id
+    'sess_' || substr(user_id, 6) || '_' || strftime("timestamp", '%Y%m%d') AS session_id
   FROM bronze),
 flat AS (
   SELECT session_id, user_id,

@@ -17,9 +17,6 @@ BROWSERS = ("Chrome", "Firefox", "Safari", "Edge")
 CITIES = ("Oslo", "Bergen", "Stavanger", "Trondheim")
 COUNTRY = "Norway"
 
-# Event ids are unique, so a session can hold no more events than this.
-SESSION_BLOCK = 4096
-
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events in the shape of bronze.events."""
@@ -64,13 +61,12 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_sessions(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
-    """The events of each user, day and block of event ids as one nested session.
+    """The events of each user and day as one nested session.
 
-    The block bounds the size of a session however active a user is.  With
-    ``copies``, each purchase is followed by one of product PROD_999 at the same
+    The day is the window for all users alike, so a session holds what one user does
+    in a day.  With ``copies``, each purchase is followed by one of product PROD_999 at the same
     time, which flattening must drop.
     """
-    block = F.expr(f"event_id div {SESSION_BLOCK}")
     number = F.substring_index("user_id", "_", -1)
     entry = F.struct("timestamp", "event_id", "event_type", "product_id")
     grouped = (
@@ -78,7 +74,6 @@ def bronze_sessions(spark: SparkSession, sf_dir: str, copies: bool = False) -> D
         .groupBy(
             "user_id",
             F.to_date("timestamp").alias("day"),
-            block.alias("block"),
         )
         .agg(
             F.min("timestamp").alias("start_time"),
@@ -98,7 +93,7 @@ def bronze_sessions(spark: SparkSession, sf_dir: str, copies: bool = False) -> D
             )
         )
     return grouped.select(
-        F.concat_ws("_", F.lit("sess"), number, F.replace(F.col("day").cast("string"), F.lit("-")), "block").alias(
+        F.concat_ws("_", F.lit("sess"), number, F.replace(F.col("day").cast("string"), F.lit("-"))).alias(
             "session_id"
         ),
         "user_id",
