@@ -32,6 +32,11 @@ class Table:
     def keys(self) -> list[str]:
         return list(self.spec.keys)
 
+    @property
+    def swap_path(self) -> str:
+        """Where replacements of buckets wait, complete, until they are swapped in."""
+        return f"{self.stage_path}_swap"
+
     @property
     def stored_ddl(self) -> str:
         return f"{self.spec.ddl}, {BUCKET} int"

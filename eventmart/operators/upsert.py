@@ -4,12 +4,15 @@ Plain Parquet has no MERGE, so a batch is merged bucket by bucket:
 
 1. The batch is written to the table's staging path, so that it is computed once.
 2. The key columns of the touched buckets are matched with the staged keys.
-3. Buckets with a match are rewritten: old rows without a staged key, plus the
-   staged rows.  Buckets without one only get the staged rows appended.
+3. The replacement of each bucket with a match (old rows without a staged key, plus the
+   staged rows) is written, complete, to the table's swap path.
+4. The log says "prepared".  From here on the merge can only be completed.
+5. The replacements are swapped in; buckets without a match get the staged rows appended.
 
 So an insert-only batch reads key columns and writes nothing but itself, and an
-update costs the buckets it hits, not the table.  Replacing the whole row is an
-update of every non-key column.
+update costs the buckets it hits (written twice), not the table.  Replacing the whole row
+is an update of every non-key column.  Stored rows carry the run that brought them in a
+column that readers of the table do not see.
 
 The driver only sees one row of counts and key bounds per touched bucket.  Keys
 are matched by a broadcast join when the staged keys are below Spark's broadcast
@@ -19,8 +22,9 @@ the table is still written by many tasks.
 
 Writers of one table must be serial, and a concurrent reader may see some buckets
 before and some after a merge.  Lost executors only cost retried tasks, since old
-files stay until the job commits.  If the driver dies in the middle, ``settle``
-(called by every upsert and every job) completes the merge from the stage.
+files stay until the job commits.  If the driver dies in the middle, even between
+the deletion of a bucket and the renaming of its replacement, ``settle`` (called by every
+upsert and every job) completes the merge from the swap path and the stage.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from eventmart.layout import BUCKET, Table
 from eventmart.sources.tables import read_if_exists
 
 RUN = "_run"
+REPLACED, APPENDED = "replaced", "appended"  # parts of a run's swap path
 LOG_DDL = (
     "run string, state string, buckets int, null_safe boolean, rows_inserted bigint, "
     "rows_updated bigint, last_stamp timestamp_ntz, logged_at timestamp"
@@ -105,17 +110,27 @@ def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> Merg
     stamps = [row["last_stamp"] for row in touched if row["last_stamp"] is not None]
     merge = Merge(run, null_safe, MergeCounts(total - updated, updated), max(stamps, default=None))
 
+    hit = {row[BUCKET] for row in hits}
+    if hit:
+        _write_replacements(spark, table, run, hit, null_safe)
     _log(spark, table, merge, "prepared")
-    _write_buckets(spark, table, touched, hits, null_safe)
+    if hit:
+        _swap_in(spark, table, run, REPLACED)
+    new = {row[BUCKET] for row in touched} - hit
+    if new:
+        _write(_stage(spark, table).filter(_in_buckets(new)), table, "append")
     _log(spark, table, merge, "merged")
+    _forget(spark, table, run)
     return merge.counts
 
 
 def settle(spark: SparkSession, table: Table) -> None:
     """Complete a merge that was prepared but, its driver lost, never finished.
 
-    Merging the stage again is safe: rows already merged now match themselves.
-    Rows with a NULL key match nothing by key, so there the stamp is compared too.
+    Replaced buckets are swapped in again from their complete replacements, whatever is left of
+    them in the table.  Buckets that were only appended to are replaced by their rows of
+    other runs plus the staged rows; that replacement is complete, and logged, before it
+    is swapped in.  So ``settle`` itself may be lost at any point and repeated.
     """
     log = _read_log(spark, table)
     if log is None:
@@ -125,6 +140,7 @@ def settle(spark: SparkSession, table: Table) -> None:
         log.groupBy("run", "buckets", "null_safe")
         .agg(
             F.count_if(F.col("state") == "merged").alias("done"),
+            F.count_if(F.col("state") == "replaying").alias("replaying"),
             F.max("rows_inserted").alias("rows_inserted"),
             F.max("rows_updated").alias("rows_updated"),
             F.max("last_stamp").alias("last_stamp"),
@@ -140,14 +156,30 @@ def settle(spark: SparkSession, table: Table) -> None:
         )
     if last["done"]:
         return
-    touched = _profile(spark, table, last["run"])
-    if not touched:
-        raise ValueError(f"{table.name}: the stage of unfinished merge {last['run']} is gone")
-    hits = _hits(spark, table, touched, last["null_safe"], replay=True)
-    _write_buckets(spark, table, touched, hits, last["null_safe"], replay=True)
+    run = last["run"]
     counts = MergeCounts(last["rows_inserted"], last["rows_updated"])
-    merge = Merge(last["run"], last["null_safe"], counts, last["last_stamp"])
+    merge = Merge(run, last["null_safe"], counts, last["last_stamp"])
+    stage = _stage(spark, table).filter(F.col(RUN) == run)
+    touched = {row[BUCKET] for row in stage.select(BUCKET).distinct().collect()}
+    if not touched:
+        raise ValueError(f"{table.name}: the stage of unfinished merge {run} is gone")
+    replaced = _read_swap(spark, table, run, REPLACED)
+    hit = set() if replaced is None else {r[BUCKET] for r in replaced.select(BUCKET).distinct().collect()}
+    if hit:
+        _swap_in(spark, table, run, REPLACED)
+    new = touched - hit
+    if new:
+        if not last["replaying"]:
+            rows = stage.filter(_in_buckets(new))
+            stored = _read_runs(spark, table)
+            if stored is not None:
+                others = stored.filter(_in_buckets(new)).filter(~F.col(RUN).eqNullSafe(F.lit(run)))
+                rows = others.unionByName(rows)
+            _write_to(rows, table, "overwrite", f"{table.swap_path}/{run}/{APPENDED}")
+            _log(spark, table, merge, "replaying")
+        _swap_in(spark, table, run, APPENDED)
     _log(spark, table, merge, "merged")
+    _forget(spark, table, run)
 
 
 def merge_log(spark: SparkSession, table: Table) -> DataFrame:
@@ -198,11 +230,9 @@ def _stage(spark: SparkSession, table: Table) -> DataFrame:
     return spark.read.schema(f"{table.stored_ddl}, {RUN} string").parquet(table.stage_path)
 
 
-def _profile(spark: SparkSession, table: Table, run: str | None = None) -> list[Row]:
+def _profile(spark: SparkSession, table: Table) -> list[Row]:
     """Row count, latest stamp and key bounds of the stage: one row per touched bucket."""
     stage = _stage(spark, table)
-    if run is not None:
-        stage = stage.filter(F.col(RUN) == run)
     bounds = [
         F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias(f"_bounds_{key}")
         for key in table.keys
@@ -231,17 +261,12 @@ def _in_buckets(buckets: Iterable[int]) -> Column:
     return F.expr(f"{BUCKET} IN ({', '.join(map(str, listed))})") if listed else F.lit(False)
 
 
-def _same_key(table: Table, null_safe: bool, replay: bool) -> Column:
+def _same_key(table: Table, null_safe: bool) -> Column:
     """Join condition of a target row ``t`` and a staged row ``s``."""
-    loose = null_safe or replay
     condition = F.lit(True)
-    complete = F.lit(True)
     for key in table.keys:
         t, s = F.col(f"t.{key}"), F.col(f"s.{key}")
-        condition = condition & (t.eqNullSafe(s) if loose else t == s)
-        complete = complete & t.isNotNull()
-    if replay and not null_safe:
-        condition = condition & (complete | F.col("t.ingested_at").eqNullSafe(F.col("s.ingested_at")))
+        condition = condition & (t.eqNullSafe(s) if null_safe else t == s)
     return condition
 
 
@@ -250,7 +275,6 @@ def _hits(
     table: Table,
     touched: Sequence[Row],
     null_safe: bool,
-    replay: bool = False,
 ) -> list[Row]:
     """Buckets in which a staged key meets a target row.
 
@@ -259,18 +283,17 @@ def _hits(
     target = read_if_exists(spark, table)
     if target is None:
         return []
-    extra = ["ingested_at"] if replay else []
-    source = _stage(spark, table).groupBy(*table.keys, *extra).agg(F.count("*").alias("copies"))
+    source = _stage(spark, table).groupBy(*table.keys).agg(F.count("*").alias("copies"))
     candidates = (
         target.filter(_in_buckets(row[BUCKET] for row in touched))
-        .filter(_within_bounds(table, touched, nulls=null_safe or replay))
-        .select(*table.keys, *extra)
+        .filter(_within_bounds(table, touched, nulls=null_safe))
+        .select(*table.keys)
     )
     return (
         candidates.alias("t")
-        .join(source.alias("s"), _same_key(table, null_safe, replay), "inner")
+        .join(source.alias("s"), _same_key(table, null_safe), "inner")
         .select("s.*")
-        .dropDuplicates([*table.keys, *extra])
+        .dropDuplicates(table.keys)
         .withColumn(BUCKET, table.bucket())
         .groupBy(BUCKET)
         .agg(F.sum("copies").alias("rows"), F.max("copies").alias("copies"))
@@ -278,44 +301,61 @@ def _hits(
     )
 
 
-def _write_buckets(
-    spark: SparkSession,
-    table: Table,
-    touched: Sequence[Row],
-    hits: Sequence[Row],
-    null_safe: bool,
-    replay: bool = False,
+def _read_runs(spark: SparkSession, table: Table) -> DataFrame | None:
+    """The table with its bucket and run columns; rows of older versions have no run."""
+    return _read_path(spark, table, table.path)
+
+
+def _read_swap(spark: SparkSession, table: Table, run: str, part: str) -> DataFrame | None:
+    return _read_path(spark, table, f"{table.swap_path}/{run}/{part}")
+
+
+def _read_path(spark: SparkSession, table: Table, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(f"{table.stored_ddl}, {RUN} string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _write_replacements(
+    spark: SparkSession, table: Table, run: str, hit: set[int], null_safe: bool
 ) -> None:
-    hit = {row[BUCKET] for row in hits}
-    fresh = _stage(spark, table).drop(RUN)
-    if hit:
-        updates = fresh.filter(_in_buckets(hit))
-        kept = (
-            read_if_exists(spark, table)
-            .filter(_in_buckets(hit))
-            .alias("t")
-            .join(
-                updates.select(*table.keys, *(["ingested_at"] if replay else [])).alias("s"),
-                _same_key(table, null_safe, replay),
-                "left_anti",
-            )
-        )
-        _write(kept.unionByName(updates), table, "overwrite")
-    new = {row[BUCKET] for row in touched} - hit
-    if new:
-        _write(fresh.filter(_in_buckets(new)), table, "append")
+    """Write the hit buckets as they will be: old rows without a staged key, plus the staged rows."""
+    updates = _stage(spark, table).filter(_in_buckets(hit))
+    kept = (
+        _read_runs(spark, table)
+        .filter(_in_buckets(hit))
+        .alias("t")
+        .join(updates.select(*table.keys).alias("s"), _same_key(table, null_safe), "left_anti")
+    )
+    _write_to(kept.unionByName(updates), table, "overwrite", f"{table.swap_path}/{run}/{REPLACED}")
+
+
+def _swap_in(spark: SparkSession, table: Table, run: str, part: str) -> None:
+    """Replace whole buckets by their complete replacements."""
+    _write(_read_swap(spark, table, run, part), table, "overwrite")
+
+
+def _forget(spark: SparkSession, table: Table, run: str) -> None:
+    """Remove the replacements of a completed run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.swap_path}/{run}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _write(rows: DataFrame, table: Table, mode: str) -> None:
-    """Write whole buckets ("overwrite" replaces only those present in ``rows``).
+    """Write to the table; "overwrite" replaces the buckets present in ``rows`` and no others."""
+    _write_to(rows, table, mode, table.path)
 
-    Sorting by key within a file keeps row-group statistics narrow.
-    """
+
+def _write_to(rows: DataFrame, table: Table, mode: str, path: str) -> None:
+    """Sorting by key within a file keeps row-group statistics narrow."""
     (
         rows.hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, *table.keys)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
-        .parquet(table.path)
+        .parquet(path)
     )

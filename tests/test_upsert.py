@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 from collections import Counter
 
 import pytest
@@ -173,6 +174,75 @@ def test_interrupted_merge_is_completed(spark, table, monkeypatch, fail_at):
     assert [(r.rows_inserted, r.rows_updated) for r in logged] == [(101, 0), (3, 1)]
 
 
+def _lose(monkeypatch, at, before=None):
+    """A context in which the write of that mode, or the log of that state, fails."""
+    patch = monkeypatch.context()
+    context = patch.__enter__()
+
+    def broken_write(rows, target, mode, real=upsert_module._write):
+        if mode == at:
+            if before:
+                before(rows, target, mode, real)
+            raise RuntimeError("lost")
+        real(rows, target, mode)
+
+    def broken_log(spark_, target, run, state, real=upsert_module._log):
+        if state == at:
+            raise RuntimeError("lost")
+        real(spark_, target, run, state)
+
+    context.setattr(upsert_module, "_write", broken_write)
+    context.setattr(upsert_module, "_log", broken_log)
+    return patch
+
+
+def _remove_bucket(table, bucket):
+    shutil.rmtree(f"{table.path}/_bucket={bucket}", ignore_errors=True)
+
+
+def test_bucket_deleted_but_not_renamed(spark, table, monkeypatch):
+    """The committer deletes a bucket before it renames its replacement: lost in between."""
+    upsert(events(spark, [(i, "a") for i in range(100)]), table)
+    bucket = buckets(spark, table, [5])[5]
+    patch = _lose(monkeypatch, "overwrite", lambda *_: _remove_bucket(table, bucket))
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(events(spark, [(5, "b")], "2024-01-02 00:00:00"), table)
+    assert sum(stored(spark, table).values()) < 100
+    with pytest.raises(RuntimeError, match="lost"):  # and lost again while settling
+        settle(spark, table)
+    patch.__exit__(None, None, None)
+    settle(spark, table)
+    assert stored(spark, table) == Counter([(i, "a") for i in range(100) if i != 5] + [(5, "b")])
+
+
+def test_half_of_the_buckets_swapped(spark, table, monkeypatch):
+    upsert(events(spark, [(i, "a") for i in range(100)]), table)
+    batch = [(i, "b") for i in range(0, 100, 3)]
+    hit = sorted(set(buckets(spark, table, [i for i, _ in batch]).values()))
+    assert len(hit) > 1
+
+    def half(rows, target, mode, real):
+        real(rows.filter(F.col("_bucket") == hit[0]), target, mode)
+        _remove_bucket(target, hit[-1])
+
+    patch = _lose(monkeypatch, "overwrite", half)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+    patch.__exit__(None, None, None)
+    settle(spark, table)
+    assert stored(spark, table) == Counter((i, "b" if i % 3 == 0 else "a") for i in range(100))
+
+
+def test_replay_keeps_null_keys_of_an_equal_stamp(spark, table, monkeypatch):
+    upsert(events(spark, [(None, "n0"), (1, "a")]), table)
+    patch = _lose(monkeypatch, "merged")
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(events(spark, [(None, "n1"), (None, "n2")]), table)
+    patch.__exit__(None, None, None)
+    settle(spark, table)
+    assert stored(spark, table) == Counter([(None, "n0"), (None, "n1"), (None, "n2"), (1, "a")])
+
+
 def test_large_bucket_is_written_by_many_tasks(spark, table):
     """All rows in one bucket: the write splits by size, not by bucket."""
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
