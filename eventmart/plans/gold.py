@@ -7,10 +7,10 @@ Each function reads the rows stamped after ``since`` and takes a ``scope``:
 * ``"touched"``: lifetime metrics, over all rows, of the keys that have one of
   those rows.
 
-Both agree on a first load.  ``"touched"`` needs no join with the new keys: it
-aggregates all rows and keeps the groups whose latest stamp is new.  So hot keys
-are combined before the shuffle instead of meeting in a join, and the NULL group
-is treated like any other.
+Both agree on a first load.  ``"touched"`` keeps the rows of the new keys by a semi
+join below the aggregate, so that history of other keys is not aggregated: a
+broadcast where the new keys are few, else a sort-merge join whose large partitions
+Spark can split.  The NULL group is treated like any other.
 
 Every result row carries the latest stamp of the batch as ``ingested_at``.
 """
@@ -130,8 +130,11 @@ def _aggregate(
         return newer_than(rows, since).groupBy(*keys).agg(*metrics)
     if scope != "touched":
         raise ValueError(f"unknown scope: {scope}")
-    grouped = rows.groupBy(*keys).agg(*metrics, F.max("ingested_at").alias("_last"))
-    return newer_than(grouped, since, "_last").drop("_last")
+    if since is not None:
+        new = newer_than(rows, since).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        rows = rows.join(new, same, "left_semi")
+    return rows.groupBy(*keys).agg(*metrics)
 
 
 def _stamp(rows: DataFrame, since: Instant | None, stamp: Instant | None) -> Column:
