@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventmart.schemas import EVENTS_RAW, SESSIONS_RAW
 
@@ -15,21 +16,28 @@ def _as_list(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_events_csv(spark: SparkSession, paths: Paths, mode: str = "FAILFAST") -> DataFrame:
+def read_events_csv(
+    spark: SparkSession, paths: Paths, mode: str = "FAILFAST", line_breaks: bool = False
+) -> DataFrame:
     """Event files: one header line, five columns by position, optional quotes.
 
     A doubled quote inside a quoted field is one quote; an empty unquoted field
-    is NULL.  A malformed value raises; with ``mode="PERMISSIVE"`` it becomes
-    NULL, and cleaning drops the row where the column is required.
+    is NULL, as is the marker ``\\N`` in a text column.  A malformed value, or a row
+    of too few fields, raises; with ``mode="PERMISSIVE"`` it becomes NULL, and
+    cleaning drops the row where the column is required.  ``line_breaks=True`` allows
+    line breaks within quoted fields; a file is then read by one task.
     """
-    return (
+    rows = (
         spark.read.schema(EVENTS_RAW)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", line_breaks)
         .option("mode", mode)
         .csv(_as_list(paths))
     )
+    texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+    return rows.withColumns({name: F.nullif(F.col(name), F.lit("\\N")) for name in texts})
 
 
 def read_sessions_json(
