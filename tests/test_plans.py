@@ -74,18 +74,18 @@ def test_top_products_keeps_ten_per_task(spark, layout):
 
 def test_upsert_prunes_buckets_and_rebalances(spark, layout, monkeypatch):
     seen = {}
-    real = upsert_module._write
+    real = upsert_module._write_to
 
-    def spy(rows, table, mode):
-        seen[mode] = plan(rows.hint("rebalance", "_bucket").sortWithinPartitions("_bucket"))
-        real(rows, table, mode)
+    def spy(rows, table, mode, path):
+        seen[path.rsplit("/", 1)[-1]] = plan(rows.hint("rebalance", "_bucket").sortWithinPartitions("_bucket"))
+        real(rows, table, mode, path)
 
-    monkeypatch.setattr(upsert_module, "_write", spy)
+    monkeypatch.setattr(upsert_module, "_write_to", spy)
     gold = layout["gold.product_metrics"]
     products = em.product_metrics(em.read_table(spark, layout["silver.events_cleaned"]))
     em.upsert(products, gold)
     em.upsert(products.filter(F.col("product_id") == "PROD_001"), gold)
-    text = seen["overwrite"]
+    text = seen[upsert_module.REPLACED]
     assert re.search(r"PartitionFilters: \[.*_bucket#\d+ = \d", text)
     assert "LeftAnti" in text
     assert "REBALANCE_PARTITIONS_BY_COL" in text
