@@ -25,7 +25,8 @@ TABLES = 6
 HASHES = 8
 WIDTH = 2.4  # of a slot, in norms of the longest vector
 PROBES = 90  # buckets that a query visits in each table
-ROWS = 4096  # vectors of a bucket that are held together, and about half of those in a task's group
+ROWS = 4096  # vectors of a bucket that are held together
+CELL_ROWS = 32768  # vectors of a task's group, about; a query brings home k of them from each group it visits
 QUERIES = 16384  # visits of a bucket that are held together
 
 
@@ -249,7 +250,7 @@ def search(
         )
         .filter("vector_parts > 1 or visit_parts > 1")
     )
-    cells = tables * max(1, math.ceil(n / (2 * ROWS)))
+    cells = tables * max(1, math.ceil(n / CELL_ROWS))
     found = stored(
         _ranked(
             _cells(visits, heavy, cells, "visit_parts", "vector_parts", F.col("vec_id")),
