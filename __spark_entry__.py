@@ -79,6 +79,18 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{base}/events", f"{base}/sessions"
 
 
+def write_array_files(spark: SparkSession, sf_dir: str) -> str:
+    """Sessions as files of one JSON array each, of about a hundred sessions."""
+    path = f"{scratch(spark)}/sessions"
+    sessions = adapter.bronze_sessions(spark, sf_dir).drop("ingested_at")
+    sessions = sessions.withColumns({c: _iso(c) for c in ("start_time", "end_time")})
+    parts = max(1, sessions.count() // 100)
+    part = F.pmod(F.xxhash64("session_id"), F.lit(parts)).alias("part")
+    arrays = sessions.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*sessions.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return f"{path}/part=*"
+
+
 def _iso(column: str) -> Column:
     return F.replace(F.col(column).cast("string"), F.lit(" "), F.lit("T"))
 
@@ -229,9 +241,16 @@ def csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = em.read_sessions_json(
-        spark, _once(write_raw_files, spark, sf_dir)[1], lines=True
-    )
+    path = _once(write_raw_files, spark, sf_dir)[1]
+    return _plain_sessions(em.read_sessions_json(spark, path, lines=True))
+
+
+def json_array_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions from many files, each a top-level array."""
+    return _plain_sessions(em.read_sessions_json(spark, _once(write_array_files, spark, sf_dir)))
+
+
+def _plain_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.select(
         "session_id",
         "user_id",
@@ -321,6 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "two_batch_product_metrics": table(_table, load_two_batches, "gold.product_metrics"),
         "csv_events": csv_events,
         "json_sessions": json_sessions,
+        "json_array_sessions": json_array_sessions,
         "files_user_metrics": table(_table, load_files, "gold.user_metrics"),
         "files_session_metrics": table(_table, load_files, "gold.session_metrics"),
         "files_product_metrics": table(_table, load_files, "gold.product_metrics"),
@@ -515,6 +535,9 @@ SELECT * REPLACE (CASE WHEN event_type = 'purchase' AND ingested_at <= '{HALF}'
         "csv_events": f"WITH {_BRONZE} SELECT * EXCLUDE (ingested_at) FROM bronze",
         "json_sessions": f"""WITH {_FLAT}
 SELECT session_id, user_id, start_time, end_time, browser, country, num_events
+FROM sessions""",
+        "json_array_sessions": f"""WITH {_FLAT}
+SELECT session_id, user_id, start_time, end_time, browser, country, num_events
 FROM sessions""",
         "files_user_metrics": f"WITH {_BRONZE} {_user_sql('bronze', file_stamp)}",
         "files_session_metrics": f"WITH {_FLAT} {_session_sql('flat', file_stamp)}",
