@@ -15,7 +15,7 @@ from eventmart.llm.common import held_out, unit
 SAMPLE_ROWS = 120  # training documents of a language whose text goes into its dictionary, about
 SLICE = 400  # characters taken of each
 CHUNK = 1024  # bytes that are compressed at once: few enough that the dictionary, not the text itself, explains them
-MIN_MARGIN = 0.003  # relative difference of the two smallest sizes below which a language is not certain
+MIN_MARGIN = 0.001  # relative difference of the two smallest sizes below which a language is not certain
 
 _SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalpha())
 

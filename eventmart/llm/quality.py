@@ -91,7 +91,7 @@ class Discriminant:
         return density[1] - density[0]
 
 
-def fit(labelled: DataFrame, shrinkage: float = 0.05, floor: float = 1e-3) -> Discriminant | None:
+def fit(labelled: DataFrame, shrinkage: float = 0.05, floor: float = 5e-3) -> Discriminant | None:
     """Fit on rows ``(label 0 or 1, features)``; None if a class has no row.
 
     Spark sums the first and second moments; the driver sees one row for each class.  A class
