@@ -110,6 +110,30 @@ def test_classes_equal_brute_force(spark):
     assert len({want[1000 + i] for i in range(60)}) == 1 and len({want[2000 + i] for i in range(150)}) == 150
 
 
+def _brute_force(texts):
+    runs = {k: order_minhash.runs_of(order_minhash.words_of(t)) for k, t in texts.items()}
+    ids = sorted(texts)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if order_minhash.alignment(runs[a], runs[b]) > 0]
+    return _roots(ids, links), links
+
+
+def test_copies_that_only_their_base_connects(spark):
+    rng = random.Random(5)
+    texts = {}
+    for group, (copies, size) in enumerate([(150, 200), (40, 100)]):
+        base = [f"b{group}x{i}" for i in range(size)]
+        for i in range(copies):
+            words = list(base)
+            for n, at in enumerate(rng.sample(range(10, size - 10, 10), size // 50)):
+                words[at] = f"e{group}x{i}x{n}"
+            texts[1000 * group + i] = " ".join(words)
+        texts[9000 + group] = " ".join(base)
+    want, links = _brute_force(texts)
+    assert len(links) < 2 * len(texts) and len(set(want.values())) == 2
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()} == want
+
+
 def test_classes_odd_rows(odd, none):
     rows = order_minhash.classes(odd).collect()
     assert len(rows) == odd.count()
