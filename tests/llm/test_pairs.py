@@ -134,6 +134,51 @@ def test_copies_that_only_their_base_connects(spark):
     assert {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()} == want
 
 
+def test_short_texts_with_words_before_or_after(spark):
+    rng = random.Random(6)
+    texts = {}
+    for n in range(5, 16):
+        for _ in range(12):
+            words = [f"s{rng.random()}" for _ in range(n)]
+            more = [f"m{rng.random()}" for _ in range(2)]
+            one = [words + more[:1], more[:1] + words][rng.random() < 0.5]
+            for x in rng.sample([words, one, [more[0], *words, more[1]]], 3):
+                texts[len(texts)] = " ".join(x)
+    for i in range(300):  # texts that a hot one is in, which are not near each other
+        texts[5000 + i] = "a hot line of just eight words here " + (f"v{i}" if i else "")
+    for i in range(200):
+        texts[6000 + i] = f"a line of seven words with {i}"
+    want, links = _brute_force(texts)
+    assert len(links) > 450 and len({want[5000 + i] for i in range(300)}) == 1 and len({want[6000 + i] for i in range(200)}) == 200
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()} == want
+
+
+def test_similar_short_texts_meet():
+    rng = random.Random(9)
+    lost = tried = 0
+    for n in range(4, 41):
+        for _ in range(200):
+            a = np.array([rng.getrandbits(64) for _ in range(n)], np.uint64)
+            kept = sorted(rng.sample(range(n), n - n // 5))
+            b = a[kept] if n > 4 else np.r_[a, np.uint64(rng.getrandbits(64))]
+            if rng.random() < 0.5 and n // 5 > 1:  # as many runs changed as may be
+                changed = n // 9
+                b = a.copy()
+                for i in rng.sample(range(n), changed):
+                    b[i] = rng.getrandbits(64)
+            if order_minhash.alignment(a, b) == 0:
+                continue
+            tried += 1
+            x, y = order_minhash.all_sketches(a), order_minhash.all_sketches(b)
+            met = any(i == j for i, j in zip(x, y))
+            p, q = order_minhash.left_out(a), order_minhash.left_out(b)
+            if p is not None and q is not None:
+                met = met or p[0] in q[1:] or q[0] in p[1:]
+            lost += not met
+    assert tried > 5000 and lost == 0
+
+
 def test_classes_odd_rows(odd, none):
     rows = order_minhash.classes(odd).collect()
     assert len(rows) == odd.count()
