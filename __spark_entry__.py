@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import eventmart as em
 from eventmart import adapter
+from eventmart.functions.columns import ntz, text_at
 from eventmart.layout import Layout
 from eventmart.plans import jobs
 
@@ -67,6 +68,30 @@ def load_two_batches(spark: SparkSession, sf_dir: str) -> Layout:
     return layout
 
 
+def load_lifetime(spark: SparkSession, sf_dir: str) -> Layout:
+    """All layers in two batches with lifetime metrics; the second moves old events to other users and products."""
+    layout = Layout(scratch(spark))
+    events = adapter.bronze_events(spark, sf_dir)
+    sessions = adapter.bronze_sessions(spark, sf_dir)
+    moved = (F.col("ingested_at") <= LAST) & (F.col("event_id") % 40 == 0)
+    second = events.filter((F.col("ingested_at") > LAST) | moved).withColumns(
+        {
+            "user_id": F.when(moved, "user_moved").otherwise(F.col("user_id")),
+            "product_id": F.when(moved, None).otherwise(F.col("product_id")),
+            "ingested_at": ntz(FILE_STAMP),
+        }
+    )
+    for old_events, old_sessions in (
+        (events.filter(F.col("ingested_at") <= LAST), sessions.filter(F.col("ingested_at") <= LAST)),
+        (second, sessions.filter(F.col("ingested_at") > LAST)),
+    ):
+        em.upsert(old_events, layout["bronze.events"])
+        em.upsert(old_sessions, layout["bronze.sessions"])
+        em.run(spark, layout, "silver", null_safe=True)
+        em.run(spark, layout, "gold", scope="touched", null_safe=True)
+    return layout
+
+
 def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The inputs as raw files: events as CSV, sessions as JSON lines."""
     base = scratch(spark)
@@ -207,7 +232,7 @@ def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "user_id": F.when(changed, "user_x").otherwise(F.col("user_id")),
             "events": F.when(changed, F.slice("events", 1, 0)).otherwise(F.col("events")),
         }
-    )
+    )  # nested columns become variants in the table
     table = Layout(scratch(spark))["bronze.sessions"]
     em.upsert(sessions.filter(_old()), table)
     em.upsert(batch, table)
@@ -216,13 +241,17 @@ def upsert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "start_time",
         "end_time",
-        F.col("device.os").alias("operating_system"),
-        F.col("location.city").alias("city"),
-        F.size("events").cast("bigint").alias("num_events"),
+        text_at("device", "$.os").alias("operating_system"),
+        text_at("location", "$.city").alias("city"),
+        _num_events(),
         "ingested_at",
     )
 
 
+def _num_events() -> Column:
+    return F.size(F.variant_get("events", "$", "array<variant>")).cast("bigint").alias("num_events")
+
+
 def upsert_session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later session events, and old purchases with another product."""
     flat = em.flatten_sessions(adapter.bronze_sessions(spark, sf_dir))
@@ -256,9 +285,63 @@ def _plain_sessions(sessions: DataFrame) -> DataFrame:
         "user_id",
         "start_time",
         "end_time",
-        F.col("device.browser").alias("browser"),
-        F.col("location.country").alias("country"),
-        F.size("events").cast("bigint").alias("num_events"),
+        text_at("device", "$.browser").alias("browser"),
+        text_at("location", "$.country").alias("country"),
+        _num_events(),
+    )
+
+
+def write_rich_files(spark: SparkSession, sf_dir: str, batch: Column) -> str:
+    """Sessions of a batch as JSON lines with fields that no table declares: a device model, event ids and prices."""
+    path = f"{scratch(spark)}/sessions"
+    values = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "value")
+    keys = ["user_id", F.to_date("timestamp").alias("day")]
+    priced = (
+        adapter.bronze_events(spark, sf_dir)
+        .join(values, "event_id")
+        .groupBy(*keys, "ingested_at")
+        .agg(
+            F.min("timestamp").alias("start_time"),
+            F.max("timestamp").alias("end_time"),
+            F.collect_list(
+                F.struct(
+                    F.col("event_type").alias("type"),
+                    "product_id",
+                    _iso("timestamp").alias("timestamp"),
+                    F.struct(F.col("event_id").alias("id"), F.col("value").alias("price")).alias("detail"),
+                )
+            ).alias("events"),
+        )
+        .filter(batch)
+    )
+    rows = priced.select(
+        F.concat_ws("_", F.lit("sess"), "user_id", "day").alias("session_id"),
+        "user_id",
+        *[_iso(c).alias(c) for c in ("start_time", "end_time")],
+        F.struct(F.lit("Linux").alias("os"), F.concat(F.lit("model of "), "user_id").alias("model")).alias("device"),
+        F.struct(F.lit("Oslo").alias("city"), F.array(F.lit(59.91), F.lit(10.75)).alias("place")).alias("location"),
+        "events",
+    )
+    rows.write.json(path)
+    return path
+
+
+def undeclared_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that no schema names, read back from the raw table after two loads, the second over part of the first."""
+    layout = Layout(scratch(spark))
+    for batch, stamp in ((F.col("ingested_at") <= LAST, "2024-02-01"), (F.col("ingested_at") > HALF, "2024-02-02")):
+        path = write_rich_files(spark, sf_dir, batch)
+        em.run(spark, layout, "bronze", "sessions", sessions_json=path, json_lines=True, stamp=stamp)
+    sessions = em.read_table(spark, layout["bronze.sessions"])
+    events = F.explode(F.variant_get("events", "$", "array<variant>"))
+    return sessions.select("session_id", "device", "location", "ingested_at", events.alias("event")).select(
+        "session_id",
+        text_at("device", "$.model").alias("model"),
+        F.variant_get("location", "$.place[0]", "double").alias("latitude"),
+        F.variant_get("event", "$.detail.id", "bigint").alias("event_id"),
+        F.variant_get("event", "$.detail.price", "double").alias("price"),
+        text_at("event", "$.type").alias("event_type"),
+        "ingested_at",
     )
 
 
@@ -338,9 +421,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "two_batch_user_metrics": table(_table, load_two_batches, "gold.user_metrics"),
         "two_batch_session_metrics": table(_table, load_two_batches, "gold.session_metrics"),
         "two_batch_product_metrics": table(_table, load_two_batches, "gold.product_metrics"),
+        "lifetime_user_metrics": table(_table, load_lifetime, "gold.user_metrics"),
+        "lifetime_session_metrics": table(_table, load_lifetime, "gold.session_metrics"),
+        "lifetime_product_metrics": table(_table, load_lifetime, "gold.product_metrics"),
         "csv_events": csv_events,
         "json_sessions": json_sessions,
         "json_array_sessions": json_array_sessions,
+        "undeclared_fields": undeclared_fields,
         "files_user_metrics": table(_table, load_files, "gold.user_metrics"),
         "files_session_metrics": table(_table, load_files, "gold.session_metrics"),
         "files_product_metrics": table(_table, load_files, "gold.product_metrics"),
@@ -457,6 +544,26 @@ touched AS (
 {metrics('touched', stamp)}"""
 
 
+def _lifetime_sql(metrics: Callable[[str, str], str], source: str, key: str) -> str:
+    """Metrics over all rows as they are after the second batch; keys it did not touch keep the first one's stamp."""
+    moved = f"ingested_at <= '{LAST}' AND event_id % 40 = 0"
+    return f"""WITH {_FLAT},
+before AS (SELECT * FROM {source}),
+after AS (
+  SELECT * FROM flat UNION ALL BY NAME SELECT * FROM (
+  SELECT * REPLACE (CASE WHEN {moved} THEN 'user_moved' ELSE user_id END AS user_id,
+    CASE WHEN {moved} THEN NULL ELSE product_id END AS product_id,
+    CASE WHEN {moved} OR ingested_at > '{LAST}' THEN TIMESTAMP '{FILE_STAMP}' ELSE ingested_at END AS ingested_at)
+  FROM bronze)),
+rows_after AS (SELECT * FROM after WHERE {'session_id IS NOT NULL' if source == 'flat' else 'session_id IS NULL'}),
+touched AS (
+  SELECT {key} FROM rows_after WHERE ingested_at > '{LAST}'
+  {'' if source == 'flat' else f"UNION SELECT {key} FROM before WHERE {moved}"}),
+metrics AS ({metrics('rows_after', _max_stamp('rows_after'))})
+SELECT m.* REPLACE (CASE WHEN EXISTS (SELECT 1 FROM touched AS t WHERE t.{key} IS NOT DISTINCT FROM m.{key})
+  THEN m.ingested_at ELSE TIMESTAMP '{LAST}' END AS ingested_at) FROM metrics AS m"""
+
+
 def _histogram_sql(column: str) -> str:
     return f"""WITH {_BRONZE},
 gold AS ({_user_sql('bronze', f"TIMESTAMP '{FILE_STAMP}'")}),
@@ -532,6 +639,9 @@ SELECT * REPLACE (CASE WHEN event_type = 'purchase' AND ingested_at <= '{HALF}'
         "two_batch_user_metrics": f"WITH {two_users} SELECT * FROM gold",
         "two_batch_session_metrics": f"WITH {two_sessions} SELECT * FROM gold",
         "two_batch_product_metrics": f"WITH {two_products} SELECT * FROM gold",
+        "lifetime_user_metrics": _lifetime_sql(_user_sql, "bronze", "user_id"),
+        "lifetime_session_metrics": _lifetime_sql(_session_sql, "flat", "session_id"),
+        "lifetime_product_metrics": _lifetime_sql(_product_sql, "bronze", "product_id"),
         "csv_events": f"WITH {_BRONZE} SELECT * EXCLUDE (ingested_at) FROM bronze",
         "json_sessions": f"""WITH {_FLAT}
 SELECT session_id, user_id, start_time, end_time, browser, country, num_events
@@ -539,6 +649,11 @@ FROM sessions""",
         "json_array_sessions": f"""WITH {_FLAT}
 SELECT session_id, user_id, start_time, end_time, browser, country, num_events
 FROM sessions""",
+        "undeclared_fields": f"""WITH {_BRONZE}
+SELECT 'sess_' || b.user_id || '_' || strftime(b."timestamp", '%Y-%m-%d') AS session_id,
+  'model of ' || b.user_id AS model, 59.91::DOUBLE AS latitude, b.event_id, e.value AS price, b.event_type,
+  CASE WHEN b.ingested_at > '{HALF}' THEN TIMESTAMP '2024-02-02' ELSE TIMESTAMP '2024-02-01' END AS ingested_at
+FROM bronze AS b JOIN events AS e ON e.event_id = b.event_id""",
         "files_user_metrics": f"WITH {_BRONZE} {_user_sql('bronze', file_stamp)}",
         "files_session_metrics": f"WITH {_FLAT} {_session_sql('flat', file_stamp)}",
         "files_product_metrics": f"WITH {_BRONZE} {_product_sql('bronze', file_stamp)}",

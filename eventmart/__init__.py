@@ -1,7 +1,7 @@
 """Event analytics on layered Parquet tables: bronze, silver, gold, reports."""
 
 from eventmart.layout import Layout, Table
-from eventmart.operators.incremental import high_water_mark, newer_than
+from eventmart.operators.incremental import high_water_mark, newer_rows, newer_than
 from eventmart.operators.upsert import DuplicateSourceKey, MergeCounts, merge_log, settle, upsert
 from eventmart.plans.gold import product_metrics, session_metrics, user_metrics
 from eventmart.plans.jobs import run
@@ -30,6 +30,7 @@ __all__ = [
     "high_water_mark",
     "kpis",
     "merge_log",
+    "newer_rows",
     "newer_than",
     "product_metrics",
     "read_events_csv",

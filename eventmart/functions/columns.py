@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, VariantType
 
 Instant = str | dt.date | dt.datetime
 
@@ -47,3 +48,16 @@ def or_zero(column: Column) -> Column:
 def lenient_double(column: Column) -> Column:
     """The value as double; text that is no number becomes NULL."""
     return column.try_cast("double")
+
+
+def as_variant(df: DataFrame, name: str) -> Column:
+    """The column as a variant: nested values whole, text parsed as JSON."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, VariantType):
+        return F.col(name)
+    return F.parse_json(name) if isinstance(kind, StringType) else F.to_variant_object(name)
+
+
+def text_at(column: str, path: str) -> Column:
+    """The value at a path of a variant as text; NULL where the path leads nowhere."""
+    return F.try_variant_get(column, path, "string")

@@ -15,7 +15,10 @@ BUCKET = "_bucket"
 
 @dataclass(frozen=True)
 class Table:
-    """One stored table: its spec, its paths and its bucket count."""
+    """One stored table: its spec, its paths and its bucket count.
+
+    Each run writes to a folder of its own below ``stage_path`` until its files move to ``path``.
+    """
 
     name: str
     spec: TableSpec
@@ -32,11 +35,6 @@ class Table:
     def keys(self) -> list[str]:
         return list(self.spec.keys)
 
-    @property
-    def swap_path(self) -> str:
-        """Where replacements of buckets wait, complete, until they are swapped in."""
-        return f"{self.stage_path}_swap"
-
     @property
     def stored_ddl(self) -> str:
         return f"{self.spec.ddl}, {BUCKET} int"
@@ -53,8 +51,8 @@ class Layout:
     ``buckets`` overrides the default bucket counts, with one number for all
     tables or a mapping by table name.  A table's count is fixed once it holds
     rows (``upsert`` refuses another one).  Choose it so that a bucket of the
-    full-grown table is at most a few gigabytes: a bucket is the unit that an
-    update rewrites, though not a unit of parallelism, since large buckets are
+    full-grown table is at most a few gigabytes: a bucket is the unit that incremental
+    reads and merges prune to, though not a unit of parallelism, since large buckets are
     read and written by many tasks.
     """
 

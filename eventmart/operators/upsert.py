@@ -1,69 +1,57 @@
 """Keyed upsert into bucketed Parquet tables.
 
-Plain Parquet has no MERGE, so a batch is merged bucket by bucket:
+Plain Parquet has no MERGE, so a batch is merged file by file:
 
-1. The batch is written to the table's staging path, so that it is computed once.
-2. The key columns of the touched buckets are matched with the staged keys.
-3. The replacement of each bucket with a match (old rows without a staged key, plus the
-   staged rows) is written, complete, to the table's swap path.
-4. The log says "prepared".  From here on the merge can only be completed.
-5. The replacements are swapped in; buckets without a match get the staged rows appended.
+1. The batch is written below the run's own work path, in the table's layout, so that it is computed once.
+2. The key columns of the touched buckets are matched with the batch's keys; a match tells its file.
+3. The rows of each file with a match that no batch key replaces are written to the work path as well.
+4. The log says "prepared" and lists the files with a match.  From here on the merge can only be completed.
+5. The new files are moved into the table and the listed files are deleted.
 
 So an insert-only batch reads key columns and writes nothing but itself, and an
-update costs the buckets it hits (written twice), not the table.  Replacing the whole row
-is an update of every non-key column.  Stored rows carry the run that brought them in a
-column that readers of the table do not see.
+update rewrites the files that it hits, once.  Replacing the whole row is an update of every
+non-key column.
 
-The driver only sees one row of counts and key bounds per touched bucket.  Keys
-are matched by a broadcast join when the staged keys are below Spark's broadcast
+The driver only sees one row of counts and key bounds per touched bucket, and one per file with a match.  Keys
+are matched by a broadcast join when the batch's keys are below Spark's broadcast
 threshold and by a sort-merge join (with AQE's skew handling) otherwise.  Writes
 are rebalanced by bucket, which AQE splits by size: a bucket that holds much of
 the table is still written by many tasks.
 
-Writers of one table must be serial, and a concurrent reader may see some buckets
-before and some after a merge.  Lost executors only cost retried tasks, since old
-files stay until the job commits.  If the driver dies in the middle, even between
-the deletion of a bucket and the renaming of its replacement, ``settle`` (called by every
-upsert and every job) completes the merge from the swap path and the stage.
+Writers of one table must be serial, and a concurrent reader may see some files
+before and some after a merge.  Lost executors only cost retried tasks, since nothing in the table
+changes before all new files are complete.  If the driver dies while files are moved, ``settle`` (called by every
+upsert and every job) moves and deletes the rest: both steps can be repeated.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from collections.abc import Iterable, Sequence
-from typing import NamedTuple
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import ntz
+from eventmart.functions.columns import as_variant, ntz
 from eventmart.layout import BUCKET, Table
-from eventmart.sources.tables import read_if_exists
-
-RUN = "_run"
-REPLACED, APPENDED = "replaced", "appended"  # parts of a run's swap path
-LOG_DDL = (
-    "run string, state string, buckets int, null_safe boolean, rows_inserted bigint, "
-    "rows_updated bigint, last_stamp timestamp_ntz, logged_at timestamp"
+from eventmart.operators.merge_log import (
+    MERGED,
+    PREPARED,
+    Merge,
+    MergeCounts,
+    last_merged_stamp,
+    merge_log,
+    read_log,
+    write_log,
 )
+from eventmart.sources.tables import add_partitions, read_if_exists
 
+__all__ = ["DuplicateSourceKey", "Merge", "MergeCounts", "last_merged_stamp", "merge_batch", "merge_log", "settle", "upsert"]
 
-class MergeCounts(NamedTuple):
-    """Source rows that were inserted and source rows that replaced a row."""
-
-    rows_inserted: int
-    rows_updated: int
-
-
-class Merge(NamedTuple):
-    """What the log keeps of a merge; ``last_stamp`` is the batch's latest ``ingested_at``."""
-
-    run: str
-    null_safe: bool
-    counts: MergeCounts
-    last_stamp: dt.datetime | None
+ROWS, KEPT = "rows", "kept"  # parts of a run's work path
+MOVERS = 16  # threads that move and delete files
 
 
 class DuplicateSourceKey(ValueError):
@@ -89,37 +77,37 @@ def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> Merg
     run = uuid.uuid4().hex
     if "ingested_at" not in batch.columns:
         batch = batch.withColumn("ingested_at", F.localtimestamp())
-    (
-        batch.select(*[F.col(name).cast(kind) for name, kind in table.spec.columns.items()])
-        .withColumn(BUCKET, table.bucket())
-        .withColumn(RUN, F.lit(run))
-        .write.mode("overwrite")
-        .parquet(table.stage_path)
-    )
+    columns = {n: as_variant(batch, n) if k == "variant" else F.col(n).cast(k) for n, k in table.spec.columns.items()}
+    rows = batch.select(*[column.alias(name) for name, column in columns.items()])
+    _write(rows.withColumn(BUCKET, table.bucket()), table, _part(table, run, ROWS))
 
-    touched = _profile(spark, table)
+    touched = _profile(spark, table, run)
     if not touched:
+        _forget(spark, table, run)
         return MergeCounts(0, 0)
-    hits = _hits(spark, table, touched, null_safe)
+    hits = _hits(spark, table, run, touched, null_safe)
     if any(hit["copies"] > 1 for hit in hits):
+        _forget(spark, table, run)
         raise DuplicateSourceKey(
             f"{table.name}: source rows with the same {table.keys} match one target row"
         )
     total = sum(row["rows"] for row in touched)
     updated = sum(hit["rows"] for hit in hits)
     stamps = [row["last_stamp"] for row in touched if row["last_stamp"] is not None]
-    merge = Merge(run, null_safe, MergeCounts(total - updated, updated), max(stamps, default=None))
-
-    hit = {row[BUCKET] for row in hits}
-    if hit:
-        _write_replacements(spark, table, run, hit, null_safe)
-    _log(spark, table, merge, "prepared")
-    if hit:
-        _swap_in(spark, table, run, REPLACED)
-    new = {row[BUCKET] for row in touched} - hit
-    if new:
-        _write(_stage(spark, table).filter(_in_buckets(new)), table, "append")
-    _log(spark, table, merge, "merged")
+    replaced = sorted(f"{BUCKET}={hit[BUCKET]}/{hit['file']}" for hit in hits)
+    merge = Merge(
+        run,
+        null_safe,
+        MergeCounts(total - updated, updated),
+        max(stamps, default=None),
+        sorted(row[BUCKET] for row in touched),
+        replaced,
+    )
+    if replaced:
+        _write_kept(spark, table, run, replaced, null_safe)
+    write_log(spark, table, merge, PREPARED)
+    _publish(spark, table, run, replaced)
+    write_log(spark, table, merge, MERGED)
     _forget(spark, table, run)
     return merge.counts
 
@@ -127,23 +115,23 @@ def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> Merg
 def settle(spark: SparkSession, table: Table) -> None:
     """Complete a merge that was prepared but, its driver lost, never finished.
 
-    Replaced buckets are swapped in again from their complete replacements, whatever is left of
-    them in the table.  Buckets that were only appended to are replaced by their rows of
-    other runs plus the staged rows; that replacement is complete, and logged, before it
-    is swapped in.  So ``settle`` itself may be lost at any point and repeated.
+    All its new files are complete: those that still wait are moved into the table, and the files they stand for
+    are deleted.  So ``settle`` itself may be lost at any point and repeated.  What runs that died
+    before they were prepared left below the work path is removed.
     """
-    log = _read_log(spark, table)
+    log = read_log(spark, table)
     if log is None:
         return
     # Any unfinished run first; there is at most one, since writers are serial.
     last = (
         log.groupBy("run", "buckets", "null_safe")
         .agg(
-            F.count_if(F.col("state") == "merged").alias("done"),
-            F.count_if(F.col("state") == "replaying").alias("replaying"),
+            F.count_if(F.col("state") == MERGED).alias("done"),
             F.max("rows_inserted").alias("rows_inserted"),
             F.max("rows_updated").alias("rows_updated"),
             F.max("last_stamp").alias("last_stamp"),
+            F.max("touched").alias("touched"),
+            F.max("replaced").alias("replaced"),
         )
         .orderBy("done")
         .first()
@@ -154,95 +142,42 @@ def settle(spark: SparkSession, table: Table) -> None:
         raise ValueError(
             f"{table.name} holds rows in {last['buckets']} buckets, not {table.buckets}"
         )
-    if last["done"]:
-        return
-    run = last["run"]
-    counts = MergeCounts(last["rows_inserted"], last["rows_updated"])
-    merge = Merge(run, last["null_safe"], counts, last["last_stamp"])
-    stage = _stage(spark, table).filter(F.col(RUN) == run)
-    touched = {row[BUCKET] for row in stage.select(BUCKET).distinct().collect()}
-    if not touched:
-        raise ValueError(f"{table.name}: the stage of unfinished merge {run} is gone")
-    replaced = _read_swap(spark, table, run, REPLACED)
-    hit = set() if replaced is None else {r[BUCKET] for r in replaced.select(BUCKET).distinct().collect()}
-    if hit:
-        _swap_in(spark, table, run, REPLACED)
-    new = touched - hit
-    if new:
-        if not last["replaying"]:
-            rows = stage.filter(_in_buckets(new))
-            stored = _read_runs(spark, table)
-            if stored is not None:
-                others = stored.filter(_in_buckets(new)).filter(~F.col(RUN).eqNullSafe(F.lit(run)))
-                rows = others.unionByName(rows)
-            _write_to(rows, table, "overwrite", f"{table.swap_path}/{run}/{APPENDED}")
-            _log(spark, table, merge, "replaying")
-        _swap_in(spark, table, run, APPENDED)
-    _log(spark, table, merge, "merged")
-    _forget(spark, table, run)
+    if not last["done"]:
+        run = last["run"]
+        if last["replaced"] is None or not _exists(spark, _part(table, run, ROWS)):
+            raise ValueError(f"{table.name}: the files of unfinished merge {run} are gone")
+        counts = MergeCounts(last["rows_inserted"], last["rows_updated"])
+        _publish(spark, table, run, last["replaced"])
+        merge = Merge(run, last["null_safe"], counts, last["last_stamp"], last["touched"], last["replaced"])
+        write_log(spark, table, merge, MERGED)
+    _forget(spark, table)
 
 
-def merge_log(spark: SparkSession, table: Table) -> DataFrame:
-    """The completed merges of ``table`` with their row counts."""
-    return (
-        spark.read.schema(LOG_DDL)
-        .parquet(table.log_path)
-        .filter(F.col("state") == "merged")
-        .select("run", "rows_inserted", "rows_updated", "logged_at")
-    )
+def _part(table: Table, run: str, part: str) -> str:
+    return f"{table.stage_path}/{run}/{part}"
 
 
-def last_merged_stamp(spark: SparkSession, table: Table) -> dt.datetime | None:
-    """The latest ``ingested_at`` that any merge brought, from the log alone."""
-    log = _read_log(spark, table)
-    return None if log is None else log.agg(F.max("last_stamp")).first()[0]
+def _read_part(spark: SparkSession, table: Table, run: str, part: str) -> DataFrame:
+    return spark.read.schema(table.stored_ddl).parquet(_part(table, run, part))
 
 
-def _read_log(spark: SparkSession, table: Table) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_DDL).parquet(table.log_path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def _log(spark: SparkSession, table: Table, merge: Merge, state: str) -> None:
-    stamp = F.lit(None) if merge.last_stamp is None else ntz(merge.last_stamp)
-    (
-        spark.range(0, 1, 1, 1)
-        .select(
-            F.lit(merge.run).alias("run"),
-            F.lit(state).alias("state"),
-            F.lit(table.buckets).cast("int").alias("buckets"),
-            F.lit(merge.null_safe).alias("null_safe"),
-            F.lit(merge.counts.rows_inserted).cast("bigint").alias("rows_inserted"),
-            F.lit(merge.counts.rows_updated).cast("bigint").alias("rows_updated"),
-            stamp.cast("timestamp_ntz").alias("last_stamp"),
-            F.current_timestamp().alias("logged_at"),
-        )
-        .write.mode("append")
-        .parquet(table.log_path)
-    )
-
-
-def _stage(spark: SparkSession, table: Table) -> DataFrame:
-    return spark.read.schema(f"{table.stored_ddl}, {RUN} string").parquet(table.stage_path)
-
-
-def _profile(spark: SparkSession, table: Table) -> list[Row]:
-    """Row count, latest stamp and key bounds of the stage: one row per touched bucket."""
-    stage = _stage(spark, table)
+def _profile(spark: SparkSession, table: Table, run: str) -> list[Row]:
+    """Row count, latest stamp and key bounds of the batch: one row per touched bucket."""
     bounds = [
         F.struct(F.min(key).alias("lo"), F.max(key).alias("hi")).alias(f"_bounds_{key}")
         for key in table.keys
     ]
     counts = [F.count("*").alias("rows"), F.max("ingested_at").alias("last_stamp")]
-    return stage.groupBy(BUCKET).agg(*counts, *bounds).collect()
+    try:
+        return _read_part(spark, table, run, ROWS).groupBy(BUCKET).agg(*counts, *bounds).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def _within_bounds(table: Table, touched: Sequence[Row], nulls: bool) -> Column:
-    """Keys between the smallest and largest staged key: pushed to row-group statistics."""
+    """Keys between the smallest and largest batch key: pushed to row-group statistics."""
     condition = F.lit(True)
     for key in table.keys:
         bounds = [row[f"_bounds_{key}"] for row in touched if row[f"_bounds_{key}"]["lo"] is not None]
@@ -256,13 +191,14 @@ def _within_bounds(table: Table, touched: Sequence[Row], nulls: bool) -> Column:
     return condition
 
 
-def _in_buckets(buckets: Iterable[int]) -> Column:
+def in_buckets(buckets: Iterable[int]) -> Column:
+    """Whether a row's bucket is listed: a filter of partitions."""
     listed = sorted(buckets)
     return F.expr(f"{BUCKET} IN ({', '.join(map(str, listed))})") if listed else F.lit(False)
 
 
 def _same_key(table: Table, null_safe: bool) -> Column:
-    """Join condition of a target row ``t`` and a staged row ``s``."""
+    """Join condition of a target row ``t`` and a batch row ``s``."""
     condition = F.lit(True)
     for key in table.keys:
         t, s = F.col(f"t.{key}"), F.col(f"s.{key}")
@@ -273,89 +209,115 @@ def _same_key(table: Table, null_safe: bool) -> Column:
 def _hits(
     spark: SparkSession,
     table: Table,
+    run: str,
     touched: Sequence[Row],
     null_safe: bool,
 ) -> list[Row]:
-    """Buckets in which a staged key meets a target row.
+    """The table's files in which a batch key meets a row.
 
-    Per bucket: the staged rows that match, and the most rows of one such key.
+    Per file: the batch rows that match (a key that meets rows of several files counts in one of them), and
+    the most rows of one such key.
     """
     target = read_if_exists(spark, table)
     if target is None:
         return []
-    source = _stage(spark, table).groupBy(*table.keys).agg(F.count("*").alias("copies"))
+    source = _read_part(spark, table, run, ROWS).groupBy(*table.keys).agg(F.count("*").alias("copies"))
     candidates = (
-        target.filter(_in_buckets(row[BUCKET] for row in touched))
+        target.filter(in_buckets(row[BUCKET] for row in touched))
         .filter(_within_bounds(table, touched, nulls=null_safe))
-        .select(*table.keys)
+        .select(*table.keys, F.col("_metadata.file_name").alias("file"))
     )
     return (
         candidates.alias("t")
         .join(source.alias("s"), _same_key(table, null_safe), "inner")
-        .select("s.*")
-        .dropDuplicates(table.keys)
+        .select("s.*", "file")
+        .groupBy(*table.keys)
+        .agg(F.max("copies").alias("copies"), F.collect_set("file").alias("files"))
         .withColumn(BUCKET, table.bucket())
-        .groupBy(BUCKET)
-        .agg(F.sum("copies").alias("rows"), F.max("copies").alias("copies"))
+        .select(BUCKET, "copies", F.posexplode(F.sort_array("files")).alias("place", "file"))
+        .groupBy(BUCKET, "file")
+        .agg(F.sum(F.when(F.col("place") == 0, F.col("copies")).otherwise(0)).alias("rows"), F.max("copies").alias("copies"))
         .collect()
     )
 
 
-def _read_runs(spark: SparkSession, table: Table) -> DataFrame | None:
-    """The table with its bucket and run columns; rows of older versions have no run."""
-    return _read_path(spark, table, table.path)
+def _write_kept(spark: SparkSession, table: Table, run: str, replaced: Sequence[str], null_safe: bool) -> None:
+    """Write the rows of the files with a match that no batch key replaces."""
+    stored = spark.read.schema(table.stored_ddl).option("basePath", table.path)
+    kept = (
+        stored.parquet(*[f"{table.path}/{file}" for file in replaced])
+        .alias("t")
+        .join(
+            _read_part(spark, table, run, ROWS).select(*table.keys).alias("s"),
+            _same_key(table, null_safe),
+            "left_anti",
+        )
+    )
+    _write(kept, table, _part(table, run, KEPT))
 
 
-def _read_swap(spark: SparkSession, table: Table, run: str, part: str) -> DataFrame | None:
-    return _read_path(spark, table, f"{table.swap_path}/{run}/{part}")
+def _write(rows: DataFrame, table: Table, path: str) -> None:
+    """Write in the table's layout; sorting by key within a file keeps row-group statistics narrow."""
+    (
+        rows.hint("rebalance", BUCKET)
+        .sortWithinPartitions(BUCKET, *table.keys)
+        .write.mode("overwrite")
+        .partitionBy(BUCKET)
+        .parquet(path)
+    )
 
 
-def _read_path(spark: SparkSession, table: Table, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(f"{table.stored_ddl}, {RUN} string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _publish(spark: SparkSession, table: Table, run: str, replaced: Sequence[str]) -> None:
+    """Move the run's files into the table and delete the files they stand for; what is done already is skipped."""
+    waiting = [file for part in (ROWS, KEPT) for file in _files(spark, _part(table, run, part))]
+    buckets = {file.rsplit("/", 2)[1] for file in waiting}
+    for bucket in sorted(buckets):
+        path = _path(spark, f"{table.path}/{bucket}")
+        _file_system(spark, path).mkdirs(path)
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(lambda file: _move(spark, file, f"{table.path}/{'/'.join(file.rsplit('/', 2)[1:])}"), waiting))
+        list(pool.map(lambda file: _delete(spark, f"{table.path}/{file}"), replaced))
+    add_partitions(spark, table, sorted(int(bucket.split("=")[1]) for bucket in buckets))
 
 
-def _write_replacements(
-    spark: SparkSession, table: Table, run: str, hit: set[int], null_safe: bool
-) -> None:
-    """Write the hit buckets as they will be: old rows without a staged key, plus the staged rows."""
-    updates = _stage(spark, table).filter(_in_buckets(hit))
-    kept = (
-        _read_runs(spark, table)
-        .filter(_in_buckets(hit))
-        .alias("t")
-        .join(updates.select(*table.keys).alias("s"), _same_key(table, null_safe), "left_anti")
-    )
-    _write_to(kept.unionByName(updates), table, "overwrite", f"{table.swap_path}/{run}/{REPLACED}")
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _swap_in(spark: SparkSession, table: Table, run: str, part: str) -> None:
-    """Replace whole buckets by their complete replacements."""
-    _write(_read_swap(spark, table, run, part), table, "overwrite")
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _forget(spark: SparkSession, table: Table, run: str) -> None:
-    """Remove the replacements of a completed run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.swap_path}/{run}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = _path(spark, path)
+    return _file_system(spark, found).exists(found)
 
 
-def _write(rows: DataFrame, table: Table, mode: str) -> None:
-    """Write to the table; "overwrite" replaces the buckets present in ``rows`` and no others."""
-    _write_to(rows, table, mode, table.path)
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """All Parquet files below a path; none where it is missing."""
+    if not _exists(spark, path):
+        return []
+    root = _path(spark, path)
+    listed = _file_system(spark, root).listFiles(root, True)
+    found = []
+    while listed.hasNext():
+        name = listed.next().getPath().toString()
+        if name.endswith(".parquet"):
+            found.append(name)
+    return found
 
 
-def _write_to(rows: DataFrame, table: Table, mode: str, path: str) -> None:
-    """Sorting by key within a file keeps row-group statistics narrow."""
-    (
-        rows.hint("rebalance", BUCKET)
-        .sortWithinPartitions(BUCKET, *table.keys)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+def _move(spark: SparkSession, file: str, to: str) -> None:
+    source, target = _path(spark, file), _path(spark, to)
+    if not _file_system(spark, target).rename(source, target):
+        raise OSError(f"cannot move {file} to {to}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = _path(spark, path)
+    _file_system(spark, found).delete(found, True)
+
+
+def _forget(spark: SparkSession, table: Table, run: str | None = None) -> None:
+    """Remove the work path of a run, or of all runs."""
+    _delete(spark, table.stage_path if run is None else f"{table.stage_path}/{run}")

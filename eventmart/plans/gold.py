@@ -1,6 +1,7 @@
 """Metrics per user, session and product.
 
-Each function reads the rows stamped after ``since`` and takes a ``scope``:
+Each metric table is described once: its keys, sums over source rows that can be merged, and the columns that follow from
+the sums.  The functions read the rows stamped after ``since`` and take a ``scope``:
 
 * ``"batch"``: metrics of those rows alone.  Merged into a stored table they
   replace a returning key's row, so it then shows its last batch.
@@ -10,14 +11,16 @@ Each function reads the rows stamped after ``since`` and takes a ``scope``:
 Both agree on a first load.  ``"touched"`` keeps the rows of the new keys by a semi
 join below the aggregate, so that history of other keys is not aggregated: a
 broadcast where the new keys are few, else a sort-merge join whose large partitions
-Spark can split.  The NULL group is treated like any other.
+Spark can split.  (The load jobs keep stored sums instead and do not read history, see ``lifetime``.)
+The NULL group is treated like any other.
 
 Every result row carries the latest stamp of the batch as ``ingested_at``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +34,81 @@ Scope = Literal["batch", "touched"]
 CLICK_TYPES = ("view_product", "add_to_cart", "remove_from_cart")
 
 
+@dataclass(frozen=True)
+class Metrics:
+    """A metric table: ``sums`` are aggregates that add up over parts of the rows, ``derived`` follow from them.
+
+    ``columns`` are the table's columns in order.
+    """
+
+    keys: tuple[str, ...]
+    sums: Mapping[str, Column]
+    derived: Mapping[str, Column]
+    columns: tuple[str, ...]
+
+    def finish(self, sums: DataFrame, stamp: Column) -> DataFrame:
+        """The metric rows, from rows of keys and sums."""
+        return sums.withColumns({**self.derived, "ingested_at": stamp}).select(*self.columns)
+
+
+def _of_users() -> Metrics:
+    kind = F.col("event_type")
+    return Metrics(
+        ("user_id",),
+        {
+            "total_events": F.count("*"),
+            "num_purchases": F.count_if(kind == "purchase"),
+            "num_clicks": F.count_if(kind.isin(*CLICK_TYPES)),
+        },
+        {"conversion_rate": guarded_ratio(F.col("num_purchases"), F.col("num_clicks"))},
+        ("user_id", "total_events", "num_purchases", "num_clicks", "conversion_rate", "ingested_at"),
+    )
+
+
+def _of_sessions() -> Metrics:
+    minutes = minute_diff(F.col("start_time"), F.col("end_time"))
+    timed = F.col("timed_events")
+    return Metrics(
+        ("session_id", "user_id"),
+        {
+            "num_events": F.count("*"),
+            "total_minutes": F.coalesce(F.sum(minutes), F.lit(0)),
+            "timed_events": F.count(minutes),
+        },
+        {
+            "session_duration_minutes": F.when(timed > 0, F.col("total_minutes") / timed),
+            "is_bounce": F.col("num_events") == 1,
+        },
+        ("session_id", "user_id", "session_duration_minutes", "num_events", "is_bounce", "ingested_at"),
+    )
+
+
+def _of_products() -> Metrics:
+    kind = F.col("event_type")
+    return Metrics(
+        ("product_id",),
+        {
+            "num_views": F.count_if(kind == "view_product"),
+            "num_add_to_cart": F.count_if(kind == "add_to_cart"),
+            "num_purchases": F.count_if(kind == "purchase"),
+        },
+        {
+            "click_to_purchase_rate": guarded_ratio(
+                F.col("num_purchases"), F.col("num_views") + F.col("num_add_to_cart")
+            )
+        },
+        ("product_id", "num_views", "num_add_to_cart", "num_purchases", "click_to_purchase_rate", "ingested_at"),
+    )
+
+
+# Built when asked for: columns need a running session.
+METRICS = {
+    "gold.user_metrics": _of_users,
+    "gold.session_metrics": _of_sessions,
+    "gold.product_metrics": _of_products,
+}
+
+
 def user_metrics(
     events: DataFrame,
     since: Instant | None = None,
@@ -38,24 +116,7 @@ def user_metrics(
     stamp: Instant | None = None,
 ) -> DataFrame:
     """Events, purchases, clicks (views, cart adds and removals) and purchases per click."""
-    kind = F.col("event_type")
-    grouped = _aggregate(
-        events,
-        ["user_id"],
-        [
-            F.count("*").alias("total_events"),
-            F.count_if(kind == "purchase").alias("num_purchases"),
-            F.count_if(kind.isin(*CLICK_TYPES)).alias("num_clicks"),
-        ],
-        since,
-        scope,
-    )
-    return grouped.withColumns(
-        {
-            "conversion_rate": guarded_ratio(F.col("num_purchases"), F.col("num_clicks")),
-            "ingested_at": _stamp(events, since, stamp),
-        }
-    )
+    return _metrics(_of_users(), events, since, scope, stamp)
 
 
 def session_metrics(
@@ -64,27 +125,8 @@ def session_metrics(
     scope: Scope = "batch",
     stamp: Instant | None = None,
 ) -> DataFrame:
-    """Duration in minutes, kept events and whether there was only one of them."""
-    grouped = _aggregate(
-        session_events,
-        ["session_id", "user_id"],
-        [
-            F.count("*").alias("num_events"),
-            F.avg(minute_diff(F.col("start_time"), F.col("end_time"))).alias(
-                "session_duration_minutes"
-            ),
-        ],
-        since,
-        scope,
-    )
-    return grouped.select(
-        "session_id",
-        "user_id",
-        "session_duration_minutes",
-        "num_events",
-        (F.col("num_events") == 1).alias("is_bounce"),
-        _stamp(session_events, since, stamp).alias("ingested_at"),
-    )
+    """Duration in minutes (their mean over the events), kept events and whether there was only one of them."""
+    return _metrics(_of_sessions(), session_events, since, scope, stamp)
 
 
 def product_metrics(
@@ -97,26 +139,12 @@ def product_metrics(
 
     Events without a product form the group of product NULL.
     """
-    kind = F.col("event_type")
-    grouped = _aggregate(
-        events,
-        ["product_id"],
-        [
-            F.count_if(kind == "view_product").alias("num_views"),
-            F.count_if(kind == "add_to_cart").alias("num_add_to_cart"),
-            F.count_if(kind == "purchase").alias("num_purchases"),
-        ],
-        since,
-        scope,
-    )
-    return grouped.withColumns(
-        {
-            "click_to_purchase_rate": guarded_ratio(
-                F.col("num_purchases"), F.col("num_views") + F.col("num_add_to_cart")
-            ),
-            "ingested_at": _stamp(events, since, stamp),
-        }
-    )
+    return _metrics(_of_products(), events, since, scope, stamp)
+
+
+def _metrics(metrics: Metrics, rows: DataFrame, since: Instant | None, scope: Scope, stamp: Instant | None) -> DataFrame:
+    sums = [column.alias(name) for name, column in metrics.sums.items()]
+    return metrics.finish(_aggregate(rows, metrics.keys, sums, since, scope), _stamp(rows, since, stamp))
 
 
 def _aggregate(

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import Instant, ntz
 from eventmart.layout import Layout, Table
-from eventmart.operators.incremental import high_water_mark, newer_than
+from eventmart.operators.incremental import high_water_mark, newer_rows
 from eventmart.operators.upsert import MergeCounts, merge_batch, settle, upsert
 from eventmart.plans import gold, silver
+from eventmart.plans.lifetime import lifetime_metrics
 from eventmart.sources.files import Paths, read_events_csv, read_sessions_json
-from eventmart.sources.tables import ensure_tables, read_table
+from eventmart.sources.tables import ensure_tables
 
 NOTHING = MergeCounts(0, 0)
 
@@ -152,11 +153,10 @@ def _load_silver(
 ) -> MergeCounts:
     table: Table = layout[target]
     settle(spark, table)
-    rows = read_table(spark, layout[source])
-    mark = high_water_mark(spark, table)
-    if newer_than(rows, mark).isEmpty():
+    new = newer_rows(spark, layout[source], high_water_mark(spark, table))
+    if new.isEmpty():
         return NOTHING
-    return merge_batch(transform(rows, mark), table, null_safe)
+    return merge_batch(transform(new), table, null_safe)
 
 
 def _load_gold(
@@ -170,10 +170,12 @@ def _load_gold(
 ) -> MergeCounts:
     table: Table = layout[target]
     settle(spark, table)
-    rows = read_table(spark, layout[source])
     mark = high_water_mark(spark, table)
+    new = newer_rows(spark, layout[source], mark)
     # One pass finds both the batch stamp and whether there is a batch at all.
-    stamp = newer_than(rows, mark).agg(F.max("ingested_at")).first()[0]
+    stamp = new.agg(F.max("ingested_at")).first()[0]
     if stamp is None:
         return NOTHING
-    return merge_batch(transform(rows, mark, scope, stamp), table, null_safe)
+    if scope == "touched":
+        return merge_batch(lifetime_metrics(spark, layout, source, target, mark, ntz(stamp)), table, null_safe)
+    return merge_batch(transform(new, scope=scope, stamp=stamp), table, null_safe)

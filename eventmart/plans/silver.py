@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import Instant
+from eventmart.functions.columns import Instant, as_variant, text_at
 from eventmart.operators.dedup import first_per_key
 from eventmart.operators.incremental import newer_than
 
@@ -35,25 +35,29 @@ def clean_events(events: DataFrame, since: Instant | None = None) -> DataFrame:
 def flatten_sessions(sessions: DataFrame, since: Instant | None = None) -> DataFrame:
     """One row per session event, for sessions stamped after ``since``.
 
-    Sessions whose ``events`` is empty or NULL give no rows.  Of several events
-    of one session with equal type and time, the latest stamped wins, then the
+    ``device``, ``location`` and ``events`` are variants (nested columns are taken as such); fields
+    that no column names stay behind in the raw table.  Sessions whose ``events`` is empty, NULL or no array give no
+    rows; an element without a field, or that is no object, has NULL there.  Of several
+    events of one session with equal type and time, the latest stamped wins, then the
     first in the array.
     """
+    new = newer_than(sessions, since)
+    nested = {name: as_variant(new, name) for name in ("device", "location", "events")}
     flat = (
-        newer_than(sessions, since)
-        .select("*", F.posexplode("events").alias("_position", "_event"))
+        new.withColumns(nested)
+        .select("*", F.posexplode(F.try_variant_get("events", "$", "array<variant>")).alias("_position", "_event"))
         .select(
             "session_id",
             "user_id",
             "start_time",
             "end_time",
-            F.lower("_event.type").alias("event_type"),
-            F.col("_event.product_id").alias("product_id"),
-            F.col("device.browser").alias("browser"),
-            F.col("device.os").alias("operating_system"),
-            F.col("location.country").alias("country"),
-            F.col("location.city").alias("city"),
-            F.col("_event.timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+            F.lower(text_at("_event", "$.type")).alias("event_type"),
+            text_at("_event", "$.product_id").alias("product_id"),
+            text_at("device", "$.browser").alias("browser"),
+            text_at("device", "$.os").alias("operating_system"),
+            text_at("location", "$.country").alias("country"),
+            text_at("location", "$.city").alias("city"),
+            text_at("_event", "$.timestamp").cast("timestamp_ntz").alias("event_timestamp"),
             "ingested_at",
             "_position",
         )

@@ -1,7 +1,9 @@
 """Columns, merge keys and default bucketing of every table.
 
 Raw timestamps are ISO-8601 without a zone, so every timestamp column is
-``timestamp_ntz``.  Ids and counts are ``bigint``.
+``timestamp_ntz``.  Ids and counts are ``bigint``.  Nested values of raw sessions are
+``variant``: they keep every field that a producer sends, declared anywhere or not, and get
+their types when they are flattened.
 """
 
 from __future__ import annotations
@@ -15,9 +17,7 @@ EVENTS_RAW = (
 
 SESSIONS_RAW = (
     "session_id string, user_id string, start_time timestamp_ntz, end_time timestamp_ntz, "
-    "device struct<os:string,browser:string>, "
-    "location struct<country:string,city:string>, "
-    "events array<struct<type:string,product_id:string,`timestamp`:string>>"
+    "device variant, location variant, events variant"
 )
 
 
@@ -61,9 +61,9 @@ TABLES: dict[str, TableSpec] = {
             "user_id": "string",
             "start_time": "timestamp_ntz",
             "end_time": "timestamp_ntz",
-            "device": "struct<os:string,browser:string>",
-            "location": "struct<country:string,city:string>",
-            "events": "array<struct<type:string,product_id:string,`timestamp`:string>>",
+            "device": "variant",
+            "location": "variant",
+            "events": "variant",
             "ingested_at": "timestamp_ntz",
         },
         ("session_id",),
@@ -131,3 +131,30 @@ TABLES: dict[str, TableSpec] = {
         4,
     ),
 }
+
+
+def _partials(target: str, sums: tuple[str, ...]) -> TableSpec:
+    """Sums per key of a metric table and bucket of its source; see ``plans/lifetime.py``."""
+    spec = TABLES[target]
+    keys = _PARTIAL_KEYS[target]
+    columns = {"source_bucket": "int", **{k: spec.columns[k] for k in keys}, **dict.fromkeys(sums, "bigint"), "ingested_at": "timestamp_ntz"}
+    return TableSpec(columns, ("source_bucket", *keys), spec.stripe, spec.buckets)
+
+
+_PARTIAL_KEYS = {
+    "gold.user_metrics": ("user_id",),
+    "gold.session_metrics": ("session_id", "user_id"),
+    "gold.product_metrics": ("product_id",),
+}
+
+PARTIALS = {
+    "gold.user_metrics": "gold.user_partials",
+    "gold.session_metrics": "gold.session_partials",
+    "gold.product_metrics": "gold.product_partials",
+}
+
+TABLES |= {
+    "gold.user_partials": _partials("gold.user_metrics", ("total_events", "num_purchases", "num_clicks")),
+    "gold.session_partials": _partials("gold.session_metrics", ("num_events", "total_minutes", "timed_events")),
+    "gold.product_partials": _partials("gold.product_metrics", ("num_views", "num_add_to_cart", "num_purchases")),
+}

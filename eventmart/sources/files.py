@@ -45,6 +45,7 @@ def read_sessions_json(
 ) -> DataFrame:
     """Session files: a top-level array per file, each element one row.
 
+    Nested values are kept whole as variants, with all their fields; a missing one is NULL.
     Such a file cannot be split, so it is read by one task; many files are read
     in parallel.  ``lines=True`` reads one object per line, which can be split:
     use it for large inputs.

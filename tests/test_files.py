@@ -73,11 +73,34 @@ def test_json_array_and_lines(spark, tmp_path, lines):
     path = write(tmp_path / "s.json", text)
     one, two = em.read_sessions_json(spark, path, lines=lines).orderBy("session_id").collect()
     assert one.start_time == dt.datetime(2024, 2, 29, 7, 0, 0, 125)
-    assert (one.device.os, one.location.city) == ("Plan 9", "Mosta")
-    assert [(e.type, e.product_id) for e in one.events] == [("view_product", "P"), ("purchase", None)]
+    assert (one.device.toPython()["os"], one.location.toPython()["city"]) == ("Plan 9", "Mosta")
+    events = one.events.toPython()
+    assert [(e["type"], e.get("product_id")) for e in events] == [("view_product", "P"), ("purchase", None)]
     assert (two.device, two.events, two.end_time) == (None, None, None)
 
 
+def test_undeclared_fields_stay(spark, tmp_path):
+    """What no schema names survives the file, the upsert and an update; silver takes only its columns."""
+    one, two = (dict(s) for s in SESSIONS)
+    one["device"] = {"os": "Plan 9", "browser": "Lynx", "model": {"name": "m", "year": 1999}}
+    one["events"] = [{**e, "price": 2.5} for e in SESSIONS[0]["events"]] + ["no object", None]
+    two["events"] = {"type": "no array"}
+    layout = em.Layout(str(tmp_path / "mart"), 2)
+    path = write(tmp_path / "s.json", json.dumps([one, two]))
+    em.run(spark, layout, "bronze", "sessions", sessions_json=path, stamp="2024-03-01")
+    one["device"]["model"]["year"] = 2000
+    path = write(tmp_path / "t.json", json.dumps([one]))
+    counts = em.run(spark, layout, "bronze", "sessions", sessions_json=path, stamp="2024-03-02")
+    assert counts["bronze.sessions"] == (0, 1)
+    stored = em.read_table(spark, layout["bronze.sessions"])
+    first, second = stored.orderBy("session_id").collect()
+    assert first.device.toPython()["model"] == {"name": "m", "year": 2000}
+    assert [e["price"] for e in first.events.toPython()[:2]] == [2.5, 2.5]
+    assert second.events.toPython() == {"type": "no array"}
+    flat = em.flatten_sessions(stored).orderBy("event_timestamp").collect()
+    assert [(r.event_type, r.operating_system) for r in flat] == [(None, "Plan 9"), ("view_product", "Plan 9"), ("purchase", "Plan 9")]
+
+
 def test_malformed_json_raises(spark, tmp_path):
     path = write(tmp_path / "s.json", '[{"session_id": ')
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):

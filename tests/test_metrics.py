@@ -11,7 +11,7 @@ import eventmart as em
 from eventmart.functions.columns import guarded_ratio, lenient_double, minute_diff, ntz, or_zero
 from eventmart.operators.histogram import histogram
 from eventmart.plans.reports import date_range
-from eventmart.schemas import SESSIONS_RAW, TABLES
+from eventmart.schemas import TABLES
 
 NOON = "2024-01-01 12:00:00"
 LATER = "2024-01-02 12:00:00"
@@ -29,7 +29,11 @@ def events(spark, rows):
 
 def sessions(spark, rows):
     """Rows (session_id, user_id, events), an event being (type, product_id, timestamp)."""
-    ddl = SESSIONS_RAW.replace("timestamp_ntz", "string")
+    ddl = (
+        "session_id string, user_id string, start_time string, end_time string, "
+        "device struct<os:string,browser:string>, location struct<country:string,city:string>, "
+        "events array<struct<type:string,product_id:string,`timestamp`:string>>"
+    )
     data = [
         (sid, user, NOON, LATER, ("Linux", "Edge"), ("Norway", "Oslo"), found)
         for sid, user, found in rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import shutil
 from collections import Counter
@@ -141,30 +142,49 @@ def test_other_bucket_count_is_refused(spark, tmp_path):
         upsert(events(spark, [(1, "a")]), Layout(str(tmp_path), 8)["bronze.events"])
 
 
-@pytest.mark.parametrize("fail_at", ["append", "overwrite", "merged"])
-def test_interrupted_merge_is_completed(spark, table, monkeypatch, fail_at):
-    """A driver lost before, between or after the two writes loses and repeats nothing."""
+def _lose(monkeypatch, at, after=0):
+    """A context in which the driver is lost at a step, once it has been done ``after`` times.
+
+    Steps: "move" and "delete" of a file, or the log entry of a state.
+    """
+    patch = monkeypatch.context()
+    context = patch.__enter__()
+    left = {"move": after, "delete": after}
+
+    def step(kind, real):
+        def broken(spark_, path, *rest):
+            if kind == at and "_bucket=" in path:
+                if not left[kind]:
+                    raise RuntimeError("lost")
+                left[kind] -= 1
+            real(spark_, path, *rest)
+
+        return broken
+
+    def broken_log(spark_, target, merge, state, real=upsert_module.write_log):
+        if state == at:
+            raise RuntimeError("lost")
+        real(spark_, target, merge, state)
+
+    context.setattr(upsert_module, "MOVERS", 1)
+    context.setattr(upsert_module, "_move", step("move", upsert_module._move))
+    context.setattr(upsert_module, "_delete", step("delete", upsert_module._delete))
+    context.setattr(upsert_module, "write_log", broken_log)
+    return patch
+
+
+@pytest.mark.parametrize("fail_at, after", [("move", 0), ("move", 1), ("move", 2), ("delete", 0), ("merged", 0)])
+def test_interrupted_merge_is_completed(spark, table, monkeypatch, fail_at, after):
+    """A driver lost before, between or after the moves and the deletion loses and repeats nothing."""
     upsert(events(spark, [(i, "a") for i in range(100)] + [(None, "n0")]), table)
     # One bucket is hit, another only gets new ids; repeated new keys are allowed.
     bucket = buckets(spark, table, [5, None, *range(1000, 2000)])
     new = next(i for i in range(1000, 2000) if bucket[i] not in (bucket[5], bucket[None]))
     batch = [(5, "b"), (new, "b"), (new, "c"), (None, "n1")]
-
-    def broken_write(rows, target, mode, real=upsert_module._write):
-        if mode == fail_at:
-            raise RuntimeError("lost")
-        real(rows, target, mode)
-
-    def broken_log(spark_, target, run, state, *rest, real=upsert_module._log):
-        if state == fail_at:
-            raise RuntimeError("lost")
-        real(spark_, target, run, state, *rest)
-
-    with monkeypatch.context() as patch:
-        patch.setattr(upsert_module, "_write", broken_write)
-        patch.setattr(upsert_module, "_log", broken_log)
-        with pytest.raises(RuntimeError, match="lost"):
-            upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+    patch = _lose(monkeypatch, fail_at, after)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+    patch.__exit__(None, None, None)
     settle(spark, table)
     want = Counter([(i, "a") for i in range(100) if i != 5] + [(None, "n0")] + batch)
     assert stored(spark, table) == want
@@ -172,65 +192,69 @@ def test_interrupted_merge_is_completed(spark, table, monkeypatch, fail_at):
     assert stored(spark, table) == want
     logged = merge_log(spark, table).orderBy("logged_at").collect()
     assert [(r.rows_inserted, r.rows_updated) for r in logged] == [(101, 0), (3, 1)]
+    assert not os.path.exists(table.stage_path)
 
 
-def _lose(monkeypatch, at, before=None):
-    """A context in which the write of that mode, or the log of that state, fails."""
-    patch = monkeypatch.context()
-    context = patch.__enter__()
-
-    def broken_write(rows, target, mode, real=upsert_module._write):
-        if mode == at:
-            if before:
-                before(rows, target, mode, real)
-            raise RuntimeError("lost")
-        real(rows, target, mode)
-
-    def broken_log(spark_, target, run, state, real=upsert_module._log):
-        if state == at:
-            raise RuntimeError("lost")
-        real(spark_, target, run, state)
-
-    context.setattr(upsert_module, "_write", broken_write)
-    context.setattr(upsert_module, "_log", broken_log)
-    return patch
-
-
-def _remove_bucket(table, bucket):
-    shutil.rmtree(f"{table.path}/_bucket={bucket}", ignore_errors=True)
-
-
-def test_bucket_deleted_but_not_renamed(spark, table, monkeypatch):
-    """The committer deletes a bucket before it renames its replacement: lost in between."""
-    upsert(events(spark, [(i, "a") for i in range(100)]), table)
-    bucket = buckets(spark, table, [5])[5]
-    patch = _lose(monkeypatch, "overwrite", lambda *_: _remove_bucket(table, bucket))
+def test_lost_before_anything_changed(spark, table, monkeypatch):
+    """A merge that was never prepared leaves the table as it was, and its files are swept."""
+    upsert(events(spark, [(i, "a") for i in range(10)]), table)
+    patch = _lose(monkeypatch, "prepared")
     with pytest.raises(RuntimeError, match="lost"):
-        upsert(events(spark, [(5, "b")], "2024-01-02 00:00:00"), table)
-    assert sum(stored(spark, table).values()) < 100
-    with pytest.raises(RuntimeError, match="lost"):  # and lost again while settling
-        settle(spark, table)
+        upsert(events(spark, [(5, "b"), (50, "b")]), table)
     patch.__exit__(None, None, None)
+    assert os.listdir(table.stage_path)
     settle(spark, table)
-    assert stored(spark, table) == Counter([(i, "a") for i in range(100) if i != 5] + [(5, "b")])
+    assert stored(spark, table) == Counter((i, "a") for i in range(10))
+    assert not os.path.exists(table.stage_path)
+    assert upsert(events(spark, [(5, "b"), (50, "b")]), table) == (1, 1)
 
 
-def test_half_of_the_buckets_swapped(spark, table, monkeypatch):
+def test_lost_again_while_settling(spark, table, monkeypatch):
+    """Lost with half of the files moved, then after the moves, then with half of the old files deleted."""
     upsert(events(spark, [(i, "a") for i in range(100)]), table)
     batch = [(i, "b") for i in range(0, 100, 3)]
-    hit = sorted(set(buckets(spark, table, [i for i, _ in batch]).values()))
-    assert len(hit) > 1
+    hit = set(buckets(spark, table, [i for i, _ in batch]).values())
+    assert len(hit) > 2
+    for at, after in (("move", len(hit)), ("delete", 0), ("delete", 1)):
+        patch = _lose(monkeypatch, at, after)
+        with pytest.raises(RuntimeError, match="lost"):
+            if at == "move":
+                upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+            else:
+                settle(spark, table)
+        patch.__exit__(None, None, None)
+    settle(spark, table)
+    assert stored(spark, table) == Counter((i, "b" if i % 3 == 0 else "a") for i in range(100))
 
-    def half(rows, target, mode, real):
-        real(rows.filter(F.col("_bucket") == hit[0]), target, mode)
-        _remove_bucket(target, hit[-1])
 
-    patch = _lose(monkeypatch, "overwrite", half)
+def test_files_of_an_unfinished_merge_are_gone(spark, table, monkeypatch):
+    upsert(events(spark, [(1, "a")]), table)
+    patch = _lose(monkeypatch, "move")
     with pytest.raises(RuntimeError, match="lost"):
-        upsert(events(spark, batch, "2024-01-02 00:00:00"), table)
+        upsert(events(spark, [(1, "b")]), table)
     patch.__exit__(None, None, None)
-    settle(spark, table)
-    assert stored(spark, table) == Counter((i, "b" if i % 3 == 0 else "a") for i in range(100))
+    shutil.rmtree(table.stage_path)
+    with pytest.raises(ValueError, match="are gone"):
+        settle(spark, table)
+
+
+def test_only_files_with_a_match_are_rewritten(spark, table):
+    """One bucket of many files: an update of one key rewrites the file that holds it, and no other."""
+    for i in range(5):
+        upsert(events(spark, [(i, "a"), (i + 10 * 8, "a")]), table)
+    (bucket,) = set(buckets(spark, table, range(5)).values())
+    before = files(spark, table)[bucket]
+    assert len(before) >= 5
+    assert upsert(events(spark, [(3, "b")]), table) == (0, 1)
+    after = files(spark, table)[bucket]
+    assert len(before - after) == 1
+    held = {r.event_id for r in spark.createDataFrame([(f,) for f in before & after], "f string").join(_by_file(spark, table), "f").collect()}
+    assert 3 not in held and {0, 1, 2, 4} <= held
+    assert stored(spark, table) == Counter([(i, "b" if i == 3 else "a") for i in range(5)] + [(i + 80, "a") for i in range(5)])
+
+
+def _by_file(spark, table):
+    return read_table(spark, table).select("event_id", F.input_file_name().alias("f"))
 
 
 def test_replay_keeps_null_keys_of_an_equal_stamp(spark, table, monkeypatch):
