@@ -326,6 +326,73 @@ def write_rich_files(spark: SparkSession, sf_dir: str, batch: Column) -> str:
     return path
 
 
+def load_damaged_files(spark: SparkSession, sf_dir: str) -> Layout:
+    """Event files in which some lines lack a field and others have a malformed id; those are set aside."""
+    path = f"{scratch(spark)}/events"
+    events = adapter.bronze_events(spark, sf_dir).select(
+        F.when(F.col("event_id") % 89 == 0, F.concat(F.lit("no. "), "event_id"))
+        .otherwise(F.col("event_id").cast("string"))
+        .alias("event_id"),
+        "user_id",
+        "event_type",
+        F.coalesce("product_id", F.lit("")).alias("product_id"),
+        F.when(F.col("event_id") % 97 != 0, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("timestamp"),
+    )
+    # a line without a time has four fields
+    events.select(F.concat_ws(",", *events.columns)).write.option("lineSep", "\n").text(path)
+    layout = Layout(scratch(spark))
+    em.run(spark, layout, "bronze", "events", events_csv=_with_header(spark, path), stamp=FILE_STAMP, rejects=True)
+    return layout
+
+
+def _with_header(spark: SparkSession, path: str) -> str:
+    """The files with a header line in front, one line of each task's first."""
+    lines = spark.read.text(path)
+    headed = f"{path}-headed"
+    lines.withColumnRenamed("value", "event_id,user_id,event_type,product_id,timestamp").write.option("header", True).option(
+        "quote", ""
+    ).option("sep", "\u0001").csv(headed)
+    return headed
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of each line that could not be read."""
+    layout = _once(load_damaged_files, spark, sf_dir)
+    rejects = em.read_rejects(spark, layout.rejects_path("bronze.events"))
+    return rejects.select("line", F.col("load").cast("timestamp_ntz").alias("load"), F.col("file").endswith(".csv").alias("from_csv"))
+
+
+def accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of the other lines."""
+    return _table(load_damaged_files, "bronze.events", spark, sf_dir)
+
+
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merges of a table whose load ran again without anything new, and the mark it was left with."""
+    layout = Layout(scratch(spark))
+    em.upsert(adapter.bronze_events(spark, sf_dir), layout["bronze.events"])
+    for _ in range(2):
+        counts = em.run(spark, layout, "silver", "events")["silver.events_cleaned"]
+    table = layout["silver.events_cleaned"]
+    log = em.merge_log(spark, table).agg(F.count("*").alias("merges"), F.sum("rows_inserted").alias("rows_inserted"))
+    return log.select(
+        "merges",
+        "rows_inserted",
+        F.lit(counts.rows_inserted + counts.rows_updated).cast("bigint").alias("rows_of_second_run"),
+        ntz(em.high_water_mark(spark, table)).alias("mark"),
+    )
+
+
+def stamped_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that came without a stamp: whether each was stamped during the load."""
+    table = Layout(scratch(spark))["bronze.events"]
+    start = spark.range(1).select(F.localtimestamp()).first()[0]
+    em.upsert(adapter.bronze_events(spark, sf_dir).drop("ingested_at"), table)
+    end = spark.range(1).select(F.localtimestamp()).first()[0]
+    stored = em.read_table(spark, table)
+    return stored.select("event_id", F.col("ingested_at").between(ntz(start), ntz(end)).alias("during_load"))
+
+
 def undeclared_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields that no schema names, read back from the raw table after two loads, the second over part of the first."""
     layout = Layout(scratch(spark))
@@ -428,6 +495,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_sessions": json_sessions,
         "json_array_sessions": json_array_sessions,
         "undeclared_fields": undeclared_fields,
+        "rejected_lines": rejected_lines,
+        "accepted_lines": accepted_lines,
+        "empty_batch": empty_batch,
+        "stamped_now": stamped_now,
         "files_user_metrics": table(_table, load_files, "gold.user_metrics"),
         "files_session_metrics": table(_table, load_files, "gold.session_metrics"),
         "files_product_metrics": table(_table, load_files, "gold.product_metrics"),
@@ -649,6 +720,16 @@ FROM sessions""",
         "json_array_sessions": f"""WITH {_FLAT}
 SELECT session_id, user_id, start_time, end_time, browser, country, num_events
 FROM sessions""",
+        "rejected_lines": f"""WITH {_BRONZE}
+SELECT concat_ws(',', CASE WHEN event_id % 89 = 0 THEN 'no. ' || event_id ELSE event_id::VARCHAR END, user_id, event_type,
+    coalesce(product_id, ''), CASE WHEN event_id % 97 <> 0 THEN replace(strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f'), ' ', 'T') END) AS line,
+  TIMESTAMP '{FILE_STAMP}' AS load, true AS from_csv
+FROM bronze WHERE event_id % 89 = 0 OR event_id % 97 = 0""",
+        "accepted_lines": f"""WITH {_BRONZE}
+SELECT * REPLACE (TIMESTAMP '{FILE_STAMP}' AS ingested_at) FROM bronze WHERE event_id % 89 <> 0 AND event_id % 97 <> 0""",
+        "empty_batch": f"""WITH {_BRONZE}
+SELECT 1::BIGINT AS merges, count(*) AS rows_inserted, 0::BIGINT AS rows_of_second_run, max(ingested_at) AS mark FROM bronze""",
+        "stamped_now": "SELECT event_id, true AS during_load FROM events",
         "undeclared_fields": f"""WITH {_BRONZE}
 SELECT 'sess_' || b.user_id || '_' || strftime(b."timestamp", '%Y-%m-%d') AS session_id,
   'model of ' || b.user_id AS model, 59.91::DOUBLE AS latitude, b.event_id, e.value AS price, b.event_type,

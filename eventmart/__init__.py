@@ -14,7 +14,12 @@ from eventmart.plans.reports import (
     user_behavior,
 )
 from eventmart.plans.silver import clean_events, flatten_sessions
-from eventmart.sources.files import read_events_csv, read_sessions_json, write_report_csv
+from eventmart.sources.files import (
+    read_events_csv,
+    read_rejects,
+    read_sessions_json,
+    write_report_csv,
+)
 from eventmart.sources.tables import ensure_tables, read_table, register_tables
 
 __all__ = [
@@ -34,6 +39,7 @@ __all__ = [
     "newer_than",
     "product_metrics",
     "read_events_csv",
+    "read_rejects",
     "read_sessions_json",
     "read_table",
     "register_tables",

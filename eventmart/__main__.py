@@ -20,6 +20,7 @@ def main() -> None:
     parser.add_argument("--json-lines", action="store_true", help="one session per line")
     parser.add_argument("--scope", choices=["batch", "touched"], default="batch")
     parser.add_argument("--null-safe", action="store_true", help="let NULL merge keys match")
+    parser.add_argument("--rejects", action="store_true", help="set malformed lines aside, do not fail")
     parser.add_argument("--buckets", type=int, help="bucket count of every table")
     args = parser.parse_args()
 
@@ -34,6 +35,7 @@ def main() -> None:
         json_lines=args.json_lines,
         scope=args.scope,
         null_safe=args.null_safe,
+        rejects=args.rejects,
     )
     for name, merged in counts.items():
         print(f"{name}: {merged.rows_inserted} inserted, {merged.rows_updated} updated")

@@ -71,5 +71,10 @@ class Layout:
                 log_path=f"{self.root}/merge_log/{layer}_{short}",
             )
 
+    def rejects_path(self, name: str) -> str:
+        """Where the lines of raw files that could not be read for a table are kept."""
+        layer, short = name.split(".")
+        return f"{self.root}/{layer}_rejects/{short}"
+
     def __getitem__(self, name: str) -> Table:
         return self.tables[name]

@@ -12,7 +12,7 @@ import datetime as dt
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.columns import Instant, ntz
@@ -49,9 +49,12 @@ class Merge(NamedTuple):
 
 
 def read_log(spark: SparkSession, table: Table) -> DataFrame | None:
-    """All entries, or None before the first merge; entries of older versions lack the newer columns."""
+    """All entries, or None before the first merge; entries of older versions lack the newer columns.
+
+    There are two small ones for each merge: one task reads them, which saves the shuffles.
+    """
     try:
-        return spark.read.schema(LOG_DDL).parquet(table.log_path)
+        return spark.read.schema(LOG_DDL).parquet(table.log_path).coalesce(1)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -61,16 +64,26 @@ def read_log(spark: SparkSession, table: Table) -> DataFrame | None:
 def write_log(spark: SparkSession, table: Table, merge: Merge, state: str) -> None:
     """Append one entry; the lists are kept with the first entry of a merge only."""
     first = state == PREPARED
-    entry = (merge.run, state, table.buckets, merge.null_safe, *merge.counts, merge.touched if first else None, merge.replaced if first else None)
     stamp = F.lit(None) if merge.last_stamp is None else ntz(merge.last_stamp)
+
+    def listed(values: list, kind: str) -> Column:  # one literal, however many values
+        known = F.split(F.lit(",".join(map(str, values))), ",") if values else F.array()
+        return (known if first else F.lit(None)).cast(f"array<{kind}>")
+
     (
-        spark.createDataFrame(
-            [entry],
-            "run string, state string, buckets int, null_safe boolean, rows_inserted bigint, rows_updated bigint, "
-            "touched array<int>, replaced array<string>",
+        spark.range(0, 1, 1, 1)
+        .select(
+            F.lit(merge.run).alias("run"),
+            F.lit(state).alias("state"),
+            F.lit(table.buckets).cast("int").alias("buckets"),
+            F.lit(merge.null_safe).alias("null_safe"),
+            F.lit(merge.counts.rows_inserted).cast("bigint").alias("rows_inserted"),
+            F.lit(merge.counts.rows_updated).cast("bigint").alias("rows_updated"),
+            stamp.cast("timestamp_ntz").alias("last_stamp"),
+            F.current_timestamp().alias("logged_at"),
+            listed(merge.touched, "int").alias("touched"),
+            listed(merge.replaced, "string").alias("replaced"),
         )
-        .coalesce(1)
-        .withColumns({"last_stamp": stamp.cast("timestamp_ntz"), "logged_at": F.current_timestamp()})
         .write.mode("append")
         .parquet(table.log_path)
     )

@@ -269,7 +269,7 @@ def _write(rows: DataFrame, table: Table, path: str) -> None:
 
 def _publish(spark: SparkSession, table: Table, run: str, replaced: Sequence[str]) -> None:
     """Move the run's files into the table and delete the files they stand for; what is done already is skipped."""
-    waiting = [file for part in (ROWS, KEPT) for file in _files(spark, _part(table, run, part))]
+    waiting = [file for part in (ROWS, KEPT) for file in _files(spark, table, run, part)]
     buckets = {file.rsplit("/", 2)[1] for file in waiting}
     for bucket in sorted(buckets):
         path = _path(spark, f"{table.path}/{bucket}")
@@ -293,18 +293,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, found).exists(found)
 
 
-def _files(spark: SparkSession, path: str) -> list[str]:
-    """All Parquet files below a path; none where it is missing."""
-    if not _exists(spark, path):
-        return []
-    root = _path(spark, path)
-    listed = _file_system(spark, root).listFiles(root, True)
-    found = []
-    while listed.hasNext():
-        name = listed.next().getPath().toString()
-        if name.endswith(".parquet"):
-            found.append(name)
-    return found
+def _files(spark: SparkSession, table: Table, run: str, part: str) -> list[str]:
+    """The Parquet files of a part that still wait; none where it is missing."""
+    return _read_part(spark, table, run, part).inputFiles() if _exists(spark, _part(table, run, part)) else []
 
 
 def _move(spark: SparkSession, file: str, to: str) -> None:

@@ -13,7 +13,14 @@ from eventmart.operators.incremental import high_water_mark, newer_rows
 from eventmart.operators.upsert import MergeCounts, merge_batch, settle, upsert
 from eventmart.plans import gold, silver
 from eventmart.plans.lifetime import lifetime_metrics
-from eventmart.sources.files import Paths, read_events_csv, read_sessions_json
+from eventmart.sources.files import (
+    Paths,
+    read_events_csv,
+    read_events_csv_lenient,
+    read_sessions_json,
+    read_sessions_json_lenient,
+    write_rejects,
+)
 from eventmart.sources.tables import ensure_tables
 
 NOTHING = MergeCounts(0, 0)
@@ -26,10 +33,19 @@ STEPS: dict[str, tuple[str, ...]] = {
 
 
 def ingest_events(
-    spark: SparkSession, layout: Layout, csv: Paths, stamp: Instant | None = None
+    spark: SparkSession,
+    layout: Layout,
+    csv: Paths,
+    stamp: Instant | None = None,
+    rejects: bool = False,
 ) -> MergeCounts:
-    """Upsert event files into bronze.events, stamped now or with ``stamp``."""
-    return upsert(_stamped(read_events_csv(spark, csv), stamp), layout["bronze.events"])
+    """Upsert event files into bronze.events, stamped now or with ``stamp``.
+
+    A malformed line fails the load, or with ``rejects`` goes to the table's rejects instead.
+    """
+    if not rejects:
+        return upsert(_stamped(read_events_csv(spark, csv), stamp), layout["bronze.events"])
+    return _ingest_lenient(spark, layout, "bronze.events", read_events_csv_lenient(spark, csv), stamp)
 
 
 def ingest_sessions(
@@ -38,11 +54,23 @@ def ingest_sessions(
     json: Paths,
     stamp: Instant | None = None,
     lines: bool = False,
+    rejects: bool = False,
 ) -> MergeCounts:
-    """Upsert session files into bronze.sessions, stamped now or with ``stamp``."""
-    return upsert(
-        _stamped(read_sessions_json(spark, json, lines), stamp), layout["bronze.sessions"]
-    )
+    """Upsert session files into bronze.sessions, stamped now or with ``stamp``; see ``ingest_events``."""
+    if not rejects:
+        rows = read_sessions_json(spark, json, lines)
+        return upsert(_stamped(rows, stamp), layout["bronze.sessions"])
+    return _ingest_lenient(spark, layout, "bronze.sessions", read_sessions_json_lenient(spark, json, lines), stamp)
+
+
+def _ingest_lenient(
+    spark: SparkSession, layout: Layout, name: str, parts: tuple[DataFrame, DataFrame], stamp: Instant | None
+) -> MergeCounts:
+    rows, rejects = parts
+    if stamp is None:  # one stamp for both
+        stamp = spark.range(1).select(F.localtimestamp()).first()[0]
+    write_rejects(rejects, layout.rejects_path(name), str(stamp))
+    return upsert(_stamped(rows, stamp), layout[name])
 
 
 def load_events_cleaned(
@@ -104,11 +132,13 @@ def run(
     stamp: Instant | None = None,
     scope: gold.Scope = "batch",
     null_safe: bool = False,
+    rejects: bool = False,
 ) -> dict[str, MergeCounts]:
     """Run the chosen layers in order (bronze, silver, gold) and return the merge counts.
 
     ``step`` narrows one layer: events or sessions for bronze and silver; users,
-    sessions or products for gold.  Bronze loads the files that are given.
+    sessions or products for gold.  Bronze loads the files that are given; with ``rejects``
+    it sets malformed lines aside instead of failing.
     """
     if layer != "all" and layer not in STEPS:
         raise ValueError(f"unknown layer: {layer}")
@@ -121,10 +151,10 @@ def run(
     ensure_tables(spark, layout, None if layer == "all" else layer)
     counts: dict[str, MergeCounts] = {}
     if events_csv is not None and chosen("bronze", "events"):
-        counts["bronze.events"] = ingest_events(spark, layout, events_csv, stamp)
+        counts["bronze.events"] = ingest_events(spark, layout, events_csv, stamp, rejects)
     if sessions_json is not None and chosen("bronze", "sessions"):
         counts["bronze.sessions"] = ingest_sessions(
-            spark, layout, sessions_json, stamp, json_lines
+            spark, layout, sessions_json, stamp, json_lines, rejects
         )
     if chosen("silver", "events"):
         counts["silver.events_cleaned"] = load_events_cleaned(spark, layout, null_safe)

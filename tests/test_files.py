@@ -114,3 +114,31 @@ def test_report_export(spark, tmp_path):
     em.write_report_csv(df, str(tmp_path / "out"))  # overwrites
     (part,) = (tmp_path / "out").glob("part-*.csv")
     assert part.read_text() == 'user_id,n,rate\n"a ""b"", c",1,\n'
+
+
+def test_rejects_are_kept_with_their_file(spark, tmp_path):
+    """Every line is an event or a reject; a load that is tried again does not repeat its rejects."""
+    layout = em.Layout(str(tmp_path / "mart"), 2)
+    bad = ["x,u,purchase,P,2025-10-07T00:00:00", "3,u,purchase", "4,u,purchase,P,soon", "5,u,purchase,P,2025-10-07T00:00:00,more"]
+    a = write(tmp_path / "a.csv", HEADER + "1,u,purchase,P,2025-10-07T00:00:00\n" + "\n".join(bad[:2]) + "\n")
+    b = write(tmp_path / "b.csv", HEADER + "\n".join(bad[2:]) + "\n2,u,purchase,,2025-10-07T00:00:00\n")
+    for _ in range(2):
+        em.run(spark, layout, "bronze", "events", events_csv=[a, b], stamp="2025-10-08", rejects=True)
+        found = em.read_rejects(spark, layout.rejects_path("bronze.events")).collect()
+        assert sorted(r.line for r in found) == sorted(bad)
+        assert {r.line: r.file.rsplit("/", 1)[1] for r in found} == dict(zip(bad, ["a.csv", "a.csv", "b.csv", "b.csv"]))
+    assert sorted(r.event_id for r in em.read_table(spark, layout["bronze.events"]).collect()) == [1, 2]
+    good = write(tmp_path / "c.csv", HEADER + "9,u,purchase,P,2025-10-07T00:00:00\n")
+    em.run(spark, layout, "bronze", "events", events_csv=good, stamp="2025-10-09", rejects=True)
+    assert em.read_rejects(spark, layout.rejects_path("bronze.events")).count() == 4
+
+
+def test_rejected_sessions(spark, tmp_path):
+    layout = em.Layout(str(tmp_path / "mart"), 2)
+    assert em.read_rejects(spark, layout.rejects_path("bronze.sessions")).count() == 0
+    lines = [json.dumps(SESSIONS[0]), '{"session_id": "s3", "start_time": "soon"}', "{not json"]
+    path = write(tmp_path / "s.json", "\n".join(lines) + "\n")
+    em.run(spark, layout, "bronze", "sessions", sessions_json=path, json_lines=True, rejects=True)
+    rejects = em.read_rejects(spark, layout.rejects_path("bronze.sessions"))
+    assert sorted(r.line for r in rejects.collect()) == sorted(lines[1:])
+    assert [r.session_id for r in em.read_table(spark, layout["bronze.sessions"]).collect()] == ["s1"]
