@@ -7,12 +7,13 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import held_out, unit
 
-SAMPLE_ROWS = 120  # training documents of a language whose text goes into its dictionary, about
+SAMPLE_ROWS = 120  # distinct training texts of a language that go into its dictionary
 SLICE = 400  # characters taken of each
 CHUNK = 1024  # bytes that are compressed at once: few enough that the dictionary, not the text itself, explains them
 MIN_MARGIN = 0.001  # relative difference of the two smallest sizes below which a language is not certain
@@ -23,21 +24,21 @@ UNKNOWN = "und"
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> dict[str, bytes]:
-    """Dictionaries by language, from a seeded sample of slices of about ``SAMPLE_ROWS`` documents each.
+    """Dictionaries by language, from slices of ``SAMPLE_ROWS`` distinct texts each, those with the smallest seeded draws.
 
-    The driver sees that sample alone.  Rows without text or language teach nothing.
+    A draw follows from the text, so copies are one text, and a language of few distinct texts keeps them all.
+    The driver sees one number and that sample for each language.  Rows without text or language teach nothing.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and length(text) > 0")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not counts:
+    rows = rows.withColumn("draw", unit(F.col("text"), seed=seed))
+    smallest = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    drawn = rows.groupBy("lang", "draw").agg(F.lit(1).alias("one")).withColumn("place", smallest).filter(F.col("place") <= SAMPLE_ROWS)
+    last = {r["lang"]: r["last"] for r in drawn.groupBy("lang").agg(F.max("draw").alias("last")).collect()}
+    if not last:
         return {}
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, SAMPLE_ROWS / n)))])
-    draw = unit(F.col("text"), seed=seed)
+    limit = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])
     place = F.lit(1) + F.floor(unit(F.col("text"), seed=seed + 1) * F.greatest(F.lit(0), F.length("text") - SLICE + 1)).cast("int")
-    picked = rows.filter(draw < share[F.col("lang")]).select(
-        "lang", draw.alias("draw"), F.substring("text", place, F.lit(SLICE)).alias("text")
-    )
-    # copies of one text share a draw and would come together: one of them is enough
+    picked = rows.filter(F.col("draw") <= limit[F.col("lang")]).select("lang", "draw", F.substring("text", place, F.lit(SLICE)).alias("text"))
     picked = picked.groupBy("lang", "draw").agg(F.min("text").alias("text"))
     texts = defaultdict(list)
     for r in picked.collect():
@@ -89,6 +90,13 @@ def decide(sizes: list[int], langs: list[str]) -> tuple[str, float, float]:
     return langs[order[0]], 1 / rest, margin
 
 
+def _judge(sizes: Sizes, text: str | None, min_margin: float) -> tuple[str, float, float, bool]:
+    if not sizes.langs or not isinstance(text, str) or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, 0.0, False
+    lang, probability, margin = decide(sizes.of(text), sizes.langs)
+    return lang, probability, margin, margin >= min_margin
+
+
 def identify(
     docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -102,13 +110,7 @@ def identify(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = Sizes(dictionaries)
         for batch in batches:
-            out = []
-            for text in batch["text"]:
-                if not sizes.langs or not isinstance(text, str) or not any(map(str.isalpha, text)):
-                    out.append((UNKNOWN, 0.0, 0.0, False))
-                    continue
-                lang, probability, margin = decide(sizes.of(text), sizes.langs)
-                out.append((lang, probability, margin, margin >= min_margin))
+            out = [_judge(sizes, text, min_margin) for text in batch["text"]]
             found = pd.DataFrame(out, columns=["lang_pred", "score", "margin", "certain"])
             found.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield found.astype({"doc_id": "Int64"})
@@ -124,8 +126,17 @@ def predict(docs: DataFrame, modulus: int = 5, remainder: int = 0) -> DataFrame:
     return found.withColumn("held_out", held).select("doc_id", "held_out", "lang_pred", "score", "margin", "certain")
 
 
-def keep_certain(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
-    """The rows of ``docs`` whose language is certain, learnt from the ``lang`` of all; rows without an id are judged alike."""
-    found = identify(docs, learn(docs), min_margin)
-    rejected = found.filter(~F.col("certain")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+def keep_certain(docs: DataFrame, min_margin: float = MIN_MARGIN, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, whose language is certain, learnt from the ``lang`` of all.
+
+    Each row is judged by its own text, whatever its id is; equal texts are judged alike.
+    """
+    dictionaries = learn(docs, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(dictionaries)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            yield batch.filter(pa.array([_judge(sizes, text, min_margin)[3] for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -145,6 +145,32 @@ def test_language_odd_rows(odd, none):
     assert kept.columns == odd.columns and not {2, 3, 4, 5} & {r.doc_id for r in kept.collect()}
 
 
+GERMAN = "Die Straße führt über den Fluss und durch das kleine Dorf hinter dem Wald"
+ENGLISH = "The road leads over the river and through the little village behind the wood"
+
+
+def test_a_language_of_one_copied_text_is_learnt(spark):
+    """Thousands of copies of one text are one text, and it is never left out."""
+    rows = [(i, GERMAN, "de") for i in range(3000)] + [(i, f"{ENGLISH} {i}", "en") for i in range(3000, 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for seed in range(3):
+        found = language.learn(docs, seed=seed)
+        assert set(found) == {"de", "en"}
+        assert len(found["de"]) < len(found["en"]) <= 120 * 100
+    told = {r.lang_pred for r in language.predict(docs).filter("doc_id < 3000").collect()}
+    assert told == {"de"}
+
+
+def test_each_row_is_kept_by_its_own_text(spark):
+    """Neither a shared id nor a missing one ties the fate of a clear text to that of an unclear one."""
+    rows = [(None, GERMAN, "de"), (None, ENGLISH, "en"), (None, "!!! 123", "en"), (7, ENGLISH, "en"), (7, "???", "en"), (7, ENGLISH, "en")]
+    docs = spark.createDataFrame([(*r, [1, None], 2.5) for r in rows], "doc_id long, text string, lang string, margin array<int>, certain double")
+    kept = language.keep_certain(docs)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect(), key=str) == sorted((r for r in docs.collect() if r.text[0] not in "!?"), key=str)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decide_breaks_ties_by_name_and_rejects_narrow_margins():
     assert language.decide([10, 10, 30], ["b", "a", "c"])[0] == "a"
     assert language.decide([10, 10], ["a", "b"])[1:] == (0.5, 0.0)
