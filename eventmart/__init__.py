@@ -1,6 +1,7 @@
 """Event analytics on layered Parquet tables: bronze, silver, gold, reports."""
 
 from eventmart.layout import Layout, Table
+from eventmart.operators.claims import TableClaimed, release_claim
 from eventmart.operators.incremental import high_water_mark, newer_rows, newer_than
 from eventmart.operators.upsert import DuplicateSourceKey, MergeCounts, merge_log, settle, upsert
 from eventmart.plans.gold import product_metrics, session_metrics, user_metrics
@@ -27,6 +28,7 @@ __all__ = [
     "Layout",
     "MergeCounts",
     "Table",
+    "TableClaimed",
     "clean_events",
     "conversion_rate_histogram",
     "ensure_tables",
@@ -43,6 +45,7 @@ __all__ = [
     "read_sessions_json",
     "read_table",
     "register_tables",
+    "release_claim",
     "run",
     "session_metrics",
     "settle",

@@ -18,7 +18,7 @@ threshold and by a sort-merge join (with AQE's skew handling) otherwise.  Writes
 are rebalanced by bucket, which AQE splits by size: a bucket that holds much of
 the table is still written by many tasks.
 
-Writers of one table must be serial, and a concurrent reader may see some files
+A claim (see ``claims``) keeps a second writer of a table out.  A concurrent reader may see some files
 before and some after a merge.  Lost executors only cost retried tasks, since nothing in the table
 changes before all new files are complete.  If the driver dies while files are moved, ``settle`` (called by every
 upsert and every job) moves and deletes the rest: both steps can be repeated.
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import as_variant, ntz
 from eventmart.layout import BUCKET, Table
+from eventmart.operators.claims import claimed
 from eventmart.operators.merge_log import (
     MERGED,
     PREPARED,
@@ -67,12 +68,13 @@ def upsert(batch: DataFrame, table: Table, null_safe: bool = False) -> MergeCoun
     ``DuplicateSourceKey``, before anything is changed, when a repeated source
     key matches a target row; repeated keys that match none are all inserted.
     """
-    settle(batch.sparkSession, table)
-    return merge_batch(batch, table, null_safe)
+    with claimed(batch.sparkSession, table):
+        settle(batch.sparkSession, table)
+        return merge_batch(batch, table, null_safe)
 
 
 def merge_batch(batch: DataFrame, table: Table, null_safe: bool = False) -> MergeCounts:
-    """``upsert`` for a caller that has settled the table already."""
+    """``upsert`` for a caller that has claimed and settled the table already."""
     spark = batch.sparkSession
     run = uuid.uuid4().hex
     if "ingested_at" not in batch.columns:
@@ -122,7 +124,7 @@ def settle(spark: SparkSession, table: Table) -> None:
     log = read_log(spark, table)
     if log is None:
         return
-    # Any unfinished run first; there is at most one, since writers are serial.
+    # Any unfinished run first; there is at most one, since writers hold a claim.
     last = (
         log.groupBy("run", "buckets", "null_safe")
         .agg(

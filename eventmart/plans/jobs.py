@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.columns import Instant, ntz
 from eventmart.layout import Layout, Table
+from eventmart.operators.claims import claimed
 from eventmart.operators.incremental import high_water_mark, newer_rows
 from eventmart.operators.upsert import MergeCounts, merge_batch, settle, upsert
 from eventmart.plans import gold, silver
@@ -182,11 +183,12 @@ def _load_silver(
     null_safe: bool,
 ) -> MergeCounts:
     table: Table = layout[target]
-    settle(spark, table)
-    new = newer_rows(spark, layout[source], high_water_mark(spark, table))
-    if new.isEmpty():
-        return NOTHING
-    return merge_batch(transform(new), table, null_safe)
+    with claimed(spark, table):
+        settle(spark, table)
+        new = newer_rows(spark, layout[source], high_water_mark(spark, table))
+        if new.isEmpty():
+            return NOTHING
+        return merge_batch(transform(new), table, null_safe)
 
 
 def _load_gold(
@@ -199,13 +201,16 @@ def _load_gold(
     null_safe: bool,
 ) -> MergeCounts:
     table: Table = layout[target]
-    settle(spark, table)
-    mark = high_water_mark(spark, table)
-    new = newer_rows(spark, layout[source], mark)
-    # One pass finds both the batch stamp and whether there is a batch at all.
-    stamp = new.agg(F.max("ingested_at")).first()[0]
-    if stamp is None:
-        return NOTHING
-    if scope == "touched":
-        return merge_batch(lifetime_metrics(spark, layout, source, target, mark, ntz(stamp)), table, null_safe)
-    return merge_batch(transform(new, scope=scope, stamp=stamp), table, null_safe)
+    with claimed(spark, table):
+        settle(spark, table)
+        mark = high_water_mark(spark, table)
+        new = newer_rows(spark, layout[source], mark)
+        # One pass finds both the batch stamp and whether there is a batch at all.
+        stamp = new.agg(F.max("ingested_at")).first()[0]
+        if stamp is None:
+            return NOTHING
+        if scope == "touched":
+            batch = lifetime_metrics(spark, layout, source, target, mark, ntz(stamp))
+        else:
+            batch = transform(new, scope=scope, stamp=stamp)
+        return merge_batch(batch, table, null_safe)

@@ -36,7 +36,8 @@ MARKER = -1  # source bucket of the row that carries the latest stamp
 def lifetime_metrics(spark: SparkSession, layout: Layout, source: str, target: str, mark: Instant, stamp: Column) -> DataFrame:
     """Lifetime metrics of the keys touched since ``mark``, after the stored sums have been brought up to date.
 
-    A key that lost its last row has zeros.  Rows are stamped with ``stamp``.
+    A key that lost its last row has zeros.  Rows are stamped with ``stamp``.  The caller's claim on the metric table
+    covers its sums, which nobody else writes.
     """
     metrics = METRICS[target]()
     partials = layout[PARTIALS[target]]

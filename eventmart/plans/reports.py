@@ -39,12 +39,12 @@ def kpis(
     ``whole_end_day``.  An empty range gives a NULL duration, or 0.0 with
     ``zero_when_empty``.
     """
+    rows = session_metrics.filter(_stamped(start, end, whole_end_day))
     duration = F.avg("session_duration_minutes")
-    return session_metrics.filter(_stamped(start, end, whole_end_day)).agg(
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct("session_id").alias("sessions"),
-        (or_zero(duration) if zero_when_empty else duration).alias("avg_session_duration"),
-    )
+    means = rows.agg((or_zero(duration) if zero_when_empty else duration).alias("avg_session_duration"))
+    # two counts of their own, where one aggregate with both would double every row first
+    users, sessions = (rows.select(name).distinct().agg(F.count(name)).scalar() for name in ("user_id", "session_id"))
+    return means.select(users.alias("users"), sessions.alias("sessions"), "avg_session_duration")
 
 
 def user_behavior(

@@ -74,6 +74,17 @@ def test_deduplication_is_limited_before_the_shuffle(spark, layout):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
+def test_kpis_count_without_doubling_rows(spark, layout):
+    silver = em.read_table(spark, layout["silver.events_cleaned"])
+    sessions = silver.select(F.col("user_id").alias("session_id"), "user_id", F.lit(1.0).alias("session_duration_minutes"), "ingested_at")
+    report = em.kpis(sessions, "2024-01-01", "2024-02-01")
+    text = plan(report)
+    assert "Expand" not in text
+    assert "ReadSchema: struct<user_id:string,ingested_at:timestamp_ntz>" in text
+    users = silver.select("user_id").distinct().count()
+    assert tuple(report.first()) == (users, users, 1.0)
+
+
 def test_top_products_keeps_ten_per_task(spark, layout):
     products = em.product_metrics(em.read_table(spark, layout["silver.events_cleaned"]))
     assert "TakeOrderedAndProject(limit=10" in plan(em.top_products(products, "2024-01-01", "2024-03-01"))

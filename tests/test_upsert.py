@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from eventmart import DuplicateSourceKey, Layout, merge_log, read_table, settle, upsert
+from eventmart import DuplicateSourceKey, Layout, TableClaimed, merge_log, read_table, release_claim, settle, upsert
 from eventmart.functions.columns import ntz
 from eventmart.operators import upsert as upsert_module
 
@@ -227,6 +227,34 @@ def test_lost_again_while_settling(spark, table, monkeypatch):
     assert stored(spark, table) == Counter((i, "b" if i % 3 == 0 else "a") for i in range(100))
 
 
+def test_second_writer_is_refused(spark, table, monkeypatch):
+    """A writer that starts while another is at work changes nothing; a dead writer's claim lapses."""
+    upsert(events(spark, [(1, "a")]), table)
+    refused = []
+
+    def meanwhile(spark_, target, merge, state, real=upsert_module.write_log):
+        if state == "prepared" and not refused:
+            refused.append(True)
+            with pytest.raises(TableClaimed):
+                upsert(events(spark, [(1, "other"), (2, "other")]), table)
+        real(spark_, target, merge, state)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert_module, "write_log", meanwhile)
+        assert upsert(events(spark, [(1, "b")]), table) == (0, 1)
+    assert refused and stored(spark, table) == Counter([(1, "b")])
+    claim = f"{table.log_path}_claim"
+    assert not os.path.exists(claim)
+    for release in (lambda: release_claim(spark, table), lambda: os.utime(claim, (1, 1))):
+        with open(claim, "w") as file:
+            file.write("dead")
+        with pytest.raises(TableClaimed):
+            upsert(events(spark, [(1, "c")]), table)
+        release()
+        upsert(events(spark, [(1, "c")]), table)
+        assert not os.path.exists(claim)
+
+
 def test_files_of_an_unfinished_merge_are_gone(spark, table, monkeypatch):
     upsert(events(spark, [(1, "a")]), table)
     patch = _lose(monkeypatch, "move")
