@@ -341,3 +341,28 @@ def test_a_hot_bucket_is_split(spark, monkeypatch):
 def test_no_vectors(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.search(table, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_planted_pairs_among_texts_of_one_template(spark, monkeypatch):
+    """All texts share 160 of 184 words, which is not enough; pairs at 0.81 are found in buckets that hold nearly all."""
+    monkeypatch.setattr(order_minhash, "SMALL", 8)
+    rng = random.Random(1)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+
+    template, texts = words(160), {}
+    for i in range(150):
+        texts[i] = template + words(24)
+        twin = list(texts[i])
+        for at in (20, 100, 165):
+            twin[at : at + 1] = words(1)
+        twin[-4:] = words(4)
+        texts[i + 1000] = twin
+    runs = {i: order_minhash.runs_of(text) for i, text in texts.items()}
+    assert all(0.8 < order_minhash.alignment(runs[i], runs[i + 1000]) < 0.82 for i in range(150))
+    assert order_minhash.alignment(runs[0], runs[1]) == order_minhash.alignment(runs[0], runs[1002]) == 0
+    docs = spark.createDataFrame([(i, " ".join(text)) for i, text in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()}
+    assert sum(found[i + 1000] == found[i] == i for i in range(150)) >= 149
+    assert len(set(found.values())) <= 151
