@@ -33,6 +33,7 @@ _LOWER = bytes.maketrans(_UPPER.encode(), _UPPER.lower().encode())
 _SPACES = r"[\x20\x09-\x0D]+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 1 << 21  # numbers of a block of words that are worked on together
+_LETTERS = 1 << 20  # letters of words that are gathered for it
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -47,9 +48,12 @@ def vocabulary(path: str) -> list[bytes]:
 
 
 class Lattice:
-    """Word probabilities, and expected piece counts, of many words at once."""
+    """Word probabilities, and expected piece counts, of many words at once.
 
-    def __init__(self, pieces: list[bytes], log_p: np.ndarray, log_stop: float):
+    ``log_p`` has a number for each piece, or one for each piece and language; ``log_stop`` one, or one for each language.
+    """
+
+    def __init__(self, pieces: list[bytes], log_p: np.ndarray, log_stop: float | np.ndarray):
         self.log_p, self.log_stop = log_p, log_stop
         by_length: dict[int, list[int]] = defaultdict(list)
         for i, p in enumerate(pieces):
@@ -73,28 +77,45 @@ class Lattice:
             keys[:, j] = last
         return keys
 
-    def _arcs(self, rows: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """``(start, end, rows, pieces)`` of all matches, by end."""
+    def _arcs(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``(starts, ends, rows, pieces)`` of all matches, by end and length."""
         keys = np.hstack([np.zeros((len(rows), 1), np.uint64), self._keys(rows)])
         found = []
-        for end in range(1, rows.shape[1] + 1):
-            for length, known, ids in self._tables:
-                if length > end:
-                    break
-                key = keys[:, end] - keys[:, end - length] * self._powers[length]
-                place = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                at = np.flatnonzero(known[place] == key)
-                if len(at):
-                    found.append((end - length, end, at, ids[place[at]]))
-        return found
-
-    def _forward(self, rows: np.ndarray, arcs) -> np.ndarray:
-        alpha = np.full((rows.shape[1] + 1, len(rows)), -np.inf)
+        for length, known, ids in self._tables:
+            if length >= keys.shape[1]:
+                break
+            key = keys[:, length:] - keys[:, :-length] * self._powers[length]
+            place = np.minimum(np.searchsorted(known, key.ravel()), len(known) - 1)
+            hits = np.flatnonzero(known[place] == key.ravel())
+            at, start = np.divmod(hits, key.shape[1])
+            found.append((start, start + length, at, ids[place[hits]]))
+        starts, ends, at, pieces = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((starts, ends))
+        return starts[order], ends[order], at[order], pieces[order]
+
+    @staticmethod
+    def _forward(rows: np.ndarray, arcs: tuple[np.ndarray, ...], log_p: np.ndarray) -> np.ndarray:
+        """Log probabilities of all beginnings of the rows, summed over all ways to spell them."""
+        starts, ends, at, pieces = arcs
+        alpha = np.full((rows.shape[1] + 1, len(rows), *log_p.shape[1:]), -np.inf)
         alpha[0] = 0
-        for start, end, at, pieces in arcs:
-            alpha[end, at] = np.logaddexp(alpha[end, at], alpha[start, at] + self.log_p[pieces])
+        if len(rows) == 1:  # all arcs of an end at once: a long word costs as many steps as it has bytes
+            bounds = np.searchsorted(ends, np.arange(1, rows.shape[1] + 2)).tolist()
+            for end, (low, high) in enumerate(zip(bounds, bounds[1:]), 1):
+                if high > low:
+                    alpha[end, 0] = np.logaddexp.reduce(alpha[starts[low:high], 0] + log_p[pieces[low:high]], axis=0)
+            return alpha
+        for start, end, x, used in Lattice._spans(arcs):
+            alpha[end, x] = np.logaddexp(alpha[end, x], alpha[start, x] + log_p[used])
         return alpha
 
+    @staticmethod
+    def _spans(arcs: tuple[np.ndarray, ...]) -> list[tuple]:
+        """The arcs of one start and end together, by end; each row has one at most."""
+        starts, ends, at, pieces = arcs
+        cuts = np.flatnonzero((np.diff(ends) != 0) | (np.diff(starts) != 0)) + 1
+        return [(starts[i], ends[i], at[i:j], pieces[i:j]) for i, j in zip([0, *cuts], [*cuts, len(ends)]) if j > i]
+
     def _blocks(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         by_length = defaultdict(list)
         for i, w in enumerate(words):
@@ -107,24 +128,24 @@ class Lattice:
 
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         """Natural logarithm of the probability that pieces spell each word, which includes its leading space."""
-        out = np.zeros(len(words))
+        out = np.zeros((len(words), *self.log_p.shape[1:]))
         for places, rows in self._blocks(words):
-            out[places] = self._forward(rows, self._arcs(rows))[-1] + self.log_stop
+            out[places] = self._forward(rows, self._arcs(rows), self.log_p)[-1] + self.log_stop
         return out
 
-    def expected(self, words: list[bytes]) -> np.ndarray:
-        """Expected number of uses of each piece in the words."""
-        total = np.zeros(len(self.log_p))
+    def expected(self, words: list[bytes], language: int | None = None) -> np.ndarray:
+        """Expected number of uses of each piece in the words, by the weights of that language."""
+        log_p = self.log_p if language is None else self.log_p[:, language]
+        total = np.zeros(len(log_p))
         for _, rows in self._blocks(words):
             arcs = self._arcs(rows)
-            alpha = self._forward(rows, arcs)
+            alpha = self._forward(rows, arcs, log_p)
             beta = np.full(alpha.shape, -np.inf)
             beta[-1] = 0
-            for start, end, at, pieces in reversed(arcs):
-                through = self.log_p[pieces] + beta[end, at]
-                beta[start, at] = np.logaddexp(beta[start, at], through)
-                use = np.exp(alpha[start, at] + through - alpha[-1, at])
-                total += np.bincount(pieces, use, len(total))
+            for start, end, x, used in reversed(self._spans(arcs)):
+                through = log_p[used] + beta[end, x]
+                beta[start, x] = np.logaddexp(beta[start, x], through)
+                total += np.bincount(used, np.exp(alpha[start, x] + through - alpha[-1, x]), len(total))
         return total
 
 
@@ -141,35 +162,61 @@ def _normalised(uses: np.ndarray, begins: np.ndarray, words: float) -> tuple[np.
     return log_p, float(np.log((words + PRIOR) / going_on))
 
 
-def fit(words: DataFrame, distinct: list[int], pieces: list[bytes], rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """For each language log probabilities of the pieces and of a word's stop, from rows ``(word, c)``.
+def fit(words: DataFrame, distinct: list[int], pieces: list[bytes], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities by piece and language, and of a word's stop by language, from rows ``(word, c)``.
 
     ``c`` has the counts by language, ``distinct`` how many words each has.  What is spelt is a word not yet
-    seen, so each distinct word counts once.  The vocabulary's ranks are the first guess.  Each
-    round sums expected uses within tasks and by piece in Spark; the driver sees as many rows as the
+    seen, so each distinct word counts once.  The vocabulary's scores give the ranks of its pieces, and these the first weights.
+    Each round sums expected uses within tasks and by piece in Spark; the driver sees as many rows as the
     vocabulary has, for each language.
     """
     begins = np.array([p[:1] == b" " for p in pieces])
     rank = 1.0 / (np.arange(len(pieces)) + 100.0)
     models = [_normalised(rank / rank.sum() * 4.0 * n, begins, n) for n in distinct]
     for _ in range(rounds):
+        log_p, log_stop = (np.stack(x, axis=-1) for x in zip(*models))
 
-        def run(batches: Iterator[pd.DataFrame], models=models) -> Iterator[pd.DataFrame]:
-            lattices = [Lattice(pieces, *m) for m in models]
-            total = np.zeros((len(models), len(pieces)))
-            for batch in batches:
+        def run(batches: Iterator[pd.DataFrame], log_p=log_p, log_stop=log_stop) -> Iterator[pd.DataFrame]:
+            lattice = Lattice(pieces, log_p, log_stop)
+            total = np.zeros(log_p.shape)
+            for batch in _gathered(batches):
                 words, counts = _spaced(batch["word"]), np.array(batch["c"].tolist()).reshape(len(batch), -1)
-                for z, lattice in enumerate(lattices):
-                    total[z] += lattice.expected([words[i] for i in np.flatnonzero(counts[:, z])])
-            z, used = np.nonzero(total)
-            yield pd.DataFrame({"language": z, "piece": used, "uses": total[z, used]})
+                for z in range(total.shape[1]):
+                    total[:, z] += lattice.expected([words[i] for i in np.flatnonzero(counts[:, z])], z)
+            used, z = np.nonzero(total)
+            yield pd.DataFrame({"language": z, "piece": used, "uses": total[used, z]})
 
-        uses = np.zeros((len(models), len(pieces)))
+        uses = np.zeros(log_p.shape)
         found = words.mapInPandas(run, "language int, piece int, uses double")
         for r in found.groupBy("language", "piece").agg(F.sum("uses").alias("uses")).collect():
-            uses[r["language"], r["piece"]] = r["uses"]
-        models = [_normalised(u, begins, n) for u, n in zip(uses, distinct)]
-    return models
+            uses[r["piece"], r["language"]] = r["uses"]
+        models = [_normalised(u, begins, n) for u, n in zip(uses.T, distinct)]
+    log_p, log_stop = (np.stack(x, axis=-1) for x in zip(*models))
+    return log_p, log_stop
+
+
+def spelt(words: DataFrame, pieces: list[bytes], model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The rows with ``p``: by language the natural logarithm of the probability that pieces spell ``word``, over all segmentations."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lattice = Lattice(pieces, *model)
+        for batch in _gathered(batches):
+            yield batch.assign(p=list(lattice.log_probability(_spaced(batch["word"]))))
+
+    return words.mapInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema) + ", p array<double>")
+
+
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows in larger batches, since a lattice works on all words of a length at once."""
+    held, letters = [], 0
+    for batch in batches:
+        held.append(batch)
+        letters += int(batch["word"].str.len().sum())
+        if letters > _LETTERS:
+            yield pd.concat(held, ignore_index=True)
+            held, letters = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def _spaced(words) -> list[bytes]:
@@ -188,12 +235,11 @@ class Model:
         self.end_base = math.log10(sum(documents) + 1) - self.divisor
         self.shares = (np.array(documents) + 0.5) / (sum(documents) + 0.5 * len(documents))
 
-    def words(self, lattices: list[Lattice], words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``base`` by word, and ``lattice`` by word and language, of words that occur so often by language."""
+    def words(self, counts: np.ndarray, by_pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``base`` by word, and ``lattice`` by word and language, of words that occur so often by language and are spelt so likely."""
         base = np.log10(counts.sum(axis=1) + 1) - self.divisor
         whole = np.maximum(counts - self.discounts, 0) / self.masses
-        by_pieces = np.stack([x.log_probability(words) for x in lattices], axis=1) / math.log(10) + self.spelt
-        own = np.logaddexp(np.log(np.maximum(whole, 1e-300)), by_pieces * math.log(10))
+        own = np.logaddexp(np.log(np.maximum(whole, 1e-300)), by_pieces + self.spelt * math.log(10))
         mixed = np.logaddexp.reduce(own + np.log(self.shares), axis=1, keepdims=True)
         return base, np.logaddexp(own + math.log(1 - BORROWED), mixed + math.log(BORROWED)) / math.log(10)
 
@@ -235,16 +281,20 @@ def score(
     discounts = [min(0.95, max(0.05, seen[f"of1_{z}"] / max(1, seen[f"of1_{z}"] + 2 * seen[f"of2_{z}"]))) for z in range(classes)]
     tokens = sum(words) + total
     model = Model(tokens, seen["v"] + (total > 0), documents, words, forms, discounts)
-    fitted = fit(counts, forms, pieces)
-    top = counts.orderBy(F.desc(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)), "word").limit(FREQUENT)
-    frequent = [(r["word"].encode("utf-8", "replace"), r["c"]) for r in top.toLocalIterator()]
+    spelling = fit(counts, forms, pieces)
+    known = stored(spelt(counts, pieces, spelling))
+    top = known.orderBy(F.desc(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)), "word").limit(FREQUENT)
+    frequent, often, likely = [], [], []
+    for r in top.toLocalIterator():
+        frequent.append(r["word"].encode("utf-8", "replace"))
+        often.append(np.array(r["c"], np.int64))
+        likely.append(np.array(r["p"]))
+    often, likely = np.array(often, np.int64).reshape(-1, classes), np.array(likely, float).reshape(-1, classes)
     sums = [f"s{z}" for z in range(classes)]
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place = {w: i for i, (w, _) in enumerate(frequent)}
-        if place:
-            table = np.array([c for _, c in frequent], float).reshape(len(frequent), -1)
-            base, own = model.words([Lattice(pieces, *m) for m in fitted], [b" " + w for w in place], table)
+        place = {w: i for i, w in enumerate(frequent)}
+        base, own = model.words(often, likely)
         for batch in batches:
             heads, rare = [], ([], [], [])
             for key, doc_id, text in zip(batch["key"], batch["doc_id"], batch["text"]):
@@ -273,19 +323,14 @@ def score(
             yield both.astype({"key": "int64"} | {x: "Int64" for x in ("doc_id", "n_tokens", "n_known", "n")})
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattices = [Lattice(pieces, *m) for m in fitted]
         for batch in batches:
             if not len(batch):
                 continue
-            code, forms = pd.factorize(batch["word"])
-            table = np.zeros((len(forms), classes))
-            for i, c in zip(code, batch["c"]):
-                if c is not None:
-                    table[i] = c
-            base, own = model.words(lattices, _spaced(forms), table)
+            table = np.array([np.zeros(classes) if c is None else c for c in batch["c"]], float).reshape(-1, classes)
+            base, own = model.words(table, np.stack(batch["p"].to_list()))
             n = batch["n"].to_numpy(float)
-            found = pd.DataFrame({"key": batch["key"], "n_known": n * (table.sum(axis=1)[code] > 0), "base_score": n * base[code]})
-            found[sums] = n[:, None] * own[code]
+            found = pd.DataFrame({"key": batch["key"], "n_known": n * (table.sum(axis=1) > 0), "base_score": n * base})
+            found[sums] = n[:, None] * own
             yield found.groupby("key", as_index=False).sum().astype({"n_known": "int64"})
 
     by_class = ", ".join(f"{x} double" for x in sums)
@@ -294,8 +339,10 @@ def score(
             bags, f"key long, doc_id long, n_tokens long, n_known long, base_score double, {by_class}, word string, n long"
         )
     )
-    rare = rows.filter("word is not null").select("key", "word", "n").join(counts, "word", "left")
-    more = rare.select("key", "word", "n", "c").mapInPandas(rest, f"key long, n_known long, base_score double, {by_class}")
+    rare = rows.filter("word is not null").select("key", "word", "n")
+    unseen = rare.select("word").distinct().join(known, "word", "left_anti")
+    unseen = spelt(unseen, pieces, spelling).select("word", F.lit(None).cast("array<bigint>").alias("c"), "p")
+    more = rare.join(known.unionByName(unseen), "word").select("key", "n", "c", "p").mapInPandas(rest, f"key long, n_known long, base_score double, {by_class}")
     more = more.groupBy("key").agg(*[F.sum(x).alias(f"more_{x}") for x in ("n_known", "base_score", *sums)])
     joined = rows.filter("word is null").join(more, "key", "left")
     whole = {x: F.col(x) + F.coalesce(F.col(f"more_{x}"), F.lit(0)) for x in ("n_known", "base_score", *sums)}
