@@ -284,12 +284,9 @@ def score(
     spelling = fit(counts, forms, pieces)
     known = stored(spelt(counts, pieces, spelling))
     top = known.orderBy(F.desc(F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)), "word").limit(FREQUENT)
-    frequent, often, likely = [], [], []
-    for r in top.toLocalIterator():
-        frequent.append(r["word"].encode("utf-8", "replace"))
-        often.append(np.array(r["c"], np.int64))
-        likely.append(np.array(r["p"]))
-    often, likely = np.array(often, np.int64).reshape(-1, classes), np.array(likely, float).reshape(-1, classes)
+    top = top.toArrow()
+    frequent = [w.encode("utf-8", "replace") for w in top["word"].to_pylist()]
+    often, likely = (np.array(top[x].combine_chunks().flatten(), float).reshape(-1, classes) for x in ("c", "p"))
     sums = [f"s{z}" for z in range(classes)]
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
