@@ -68,6 +68,23 @@ def test_alignment_is_the_longest_common_subsequence():
         assert got == (pytest.approx(similarity) if similarity >= 0.8 - 1e-12 else 0.0)
 
 
+def test_bitmaps_refuse_no_similar_texts():
+    rng = np.random.default_rng(5)
+    met = 0
+    for _ in range(1500):
+        a = rng.integers(0, rng.choice([5, 100, 10**6]), rng.integers(1, 400)).astype(np.uint64)
+        b = a.copy()
+        b[rng.random(len(b)) < rng.choice([0.02, 0.1, 0.3])] = rng.integers(0, 10**6)
+        b = np.delete(b, np.flatnonzero(rng.random(len(b)) < 0.03))
+        if order_minhash.alignment(a, b) == 0:
+            continue
+        met += 1
+        differ = sum(int(x).bit_count() for x in (order_minhash.bitmap(a) ^ order_minhash.bitmap(b)).view(np.uint64))
+        least = int(np.ceil(0.8 / 1.8 * (len(a) + len(b)) - 1e-9))
+        assert differ <= len(a) + len(b) - 2 * least
+    assert met > 300
+
+
 def test_sketches_keep_the_order():
     words = [f"w{i}" for i in range(400)]
     runs = order_minhash.runs_of(words)
