@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import components, drop_stored, stored
@@ -26,9 +26,11 @@ SHORT = 40  # runs; above, sketches of PICKED runs reach the stated probability
 LEFT_OUT = 9  # runs of a text up to which no two similar ones differ by more than one run on either side
 SIMILARITY = 0.8
 SMALL = 64  # members of a bucket whose pairs of different groups are all aligned
-HUBS = 1  # further centres of a larger bucket before it is parted
+HUBS = 1  # turns in which a larger bucket gets a further centre before rare runs decide
 HOPS = 2  # times that groups are merged along their links in one turn
-STRIDE = 4  # times that buckets are parted in one turn
+MORE = 4  # from turn to turn, times as many pairs of two groups are aligned
+ORDERED_BY = 512  # texts whose runs are counted to tell frequent ones
+FREQUENT = 1 << 14  # runs at most that are known to be frequent
 BITS = 512  # of a bitmap of a text's runs
 
 _WORDS = re.compile(r"\w+")
@@ -77,19 +79,13 @@ def labelled(runs: np.ndarray) -> np.ndarray:
 
 def sketches(runs: np.ndarray, picks: int = PICKED, first: int = 1) -> np.ndarray:
     """One number for each sketch: the hash of its ``picks`` runs in the order of the text."""
-    return sketches_and_minima(runs, picks, first)[0]
-
-
-def sketches_and_minima(runs: np.ndarray, picks: int = PICKED, first: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """The sketches, and for each the one run of smallest hash."""
     x = labelled(runs)
     seeds = _mixed(np.arange(first, first + SKETCHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    out, minima = np.empty(SKETCHES, np.uint64), np.empty(SKETCHES, np.uint64)
+    out = np.empty(SKETCHES, np.uint64)
     step = max(1, _BLOCK // len(x))
     for low in range(0, SKETCHES, step):
         hashed = (x[None, :] ^ seeds[low : low + step, None]) * np.uint64(0xD6E8FEB86659FD93)
         hashed ^= hashed >> np.uint64(32)
-        minima[low : low + step] = x[hashed.argmin(axis=1)]
         if len(x) > picks:
             places = np.sort(np.argpartition(hashed, picks - 1, axis=1)[:, :picks], axis=1)
         else:
@@ -99,18 +95,13 @@ def sketches_and_minima(runs: np.ndarray, picks: int = PICKED, first: int = 1) -
         for i in range(picked.shape[1]):
             key = _mixed(key + picked[:, i])
         out[low : low + step] = key
-    return out, minima
+    return out
 
 
 def all_sketches(runs: np.ndarray) -> np.ndarray:
     """The sketches of a text; a short one has as many again, of fewer runs."""
-    return sketches_with_minima(runs)[0]
-
-
-def sketches_with_minima(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``all_sketches`` and the minima that part large buckets."""
-    found, minima = sketches_and_minima(runs)
-    return (np.r_[found, sketches(runs, SHORT_PICKED, 1 + SKETCHES)] if len(runs) <= SHORT else found), minima
+    found = sketches(runs)
+    return np.r_[found, sketches(runs, SHORT_PICKED, 1 + SKETCHES)] if len(runs) <= SHORT else found
 
 
 def bitmap(runs: np.ndarray) -> np.ndarray:
@@ -173,7 +164,7 @@ def alignment(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> f
     return found if aligned >= least else 0.0
 
 
-SKETCHED = "doc_id long, digest binary, sketches array<long>, minima array<long>, left_out array<long>, runs int, bits array<long>"
+SKETCHED = "doc_id long, digest binary, sketches array<long>, left_out array<long>, runs int, bits array<long>"
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
@@ -186,17 +177,17 @@ def _sketched(docs: DataFrame) -> DataFrame:
             out = []
             for text in batch["text"]:
                 if not isinstance(text, str):
-                    out.append((None, None, None, None, None, None))
+                    out.append((None, None, None, None, None))
                     continue
                 words = words_of(text)
                 plain = "w" + " ".join(words) if words else "t" + text
                 runs = runs_of(words)
-                found, minima = [x.view(np.int64) for x in sketches_with_minima(runs)] if len(runs) else (None, None)
+                found = all_sketches(runs).view(np.int64) if len(runs) else None
                 fewer = left_out(runs)
                 fewer = None if fewer is None else fewer.view(np.int64)
                 digest = xxh3_128_intdigest(plain.encode("utf-8", "replace")).to_bytes(16, "big")
-                out.append((digest, found, minima, fewer, len(runs), bitmap(runs) if len(runs) else None))
-            found = pd.DataFrame(out, columns=["digest", "sketches", "minima", "left_out", "runs", "bits"])
+                out.append((digest, found, fewer, len(runs), bitmap(runs) if len(runs) else None))
+            found = pd.DataFrame(out, columns=["digest", "sketches", "left_out", "runs", "bits"])
             found.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield found.astype({"doc_id": "Int64", "runs": "Int32"})
 
@@ -252,82 +243,127 @@ def _contracted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return named.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).filter("x < y").distinct()
 
 
-def _open(rows: DataFrame, levels: list[int]) -> DataFrame:
-    """Rows ``(doc_id, at, label, key.., size.., first.., centre..)`` whose bucket at the first of the levels is not known to be one group.
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows ``(doc_id, key, label, size, centre)`` of the buckets not known to be one group; the centre is the smallest id's."""
+    buckets = rows.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("doc_id", "label")).alias("centre")
+    )
+    return rows.join(buckets.filter("low < high").select("key", "size", "centre"), "key")
+
+
+def _asked(rows: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of different groups that open buckets ask for, and the rows ``(doc_id, key)`` that stay: those of large ones, but for centres."""
+    large = rows.filter(F.col("size") > SMALL)
+    met = large.filter(F.col("label") != F.col("centre.label")).select(F.col("centre.doc_id").alias("a"), F.col("doc_id").alias("b"))
+    small = rows.filter(F.col("size") <= SMALL).select("doc_id", "label", "key").join(marks, "doc_id")
+    return _met(small).select("a", "b").union(met), large.filter(F.col("doc_id") != F.col("centre.doc_id")).select("doc_id", "key")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """All pairs ``(a, b)`` of different groups ``(x, y)``, x < y, in the parts of ``(key, doc_id, label, runs, bits)`` whose bitmaps allow the similarity."""
+    one = rows.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "a"), ("label", "of_a"), ("runs", "runs_a"), ("bits", "bits_a"))])
+    other = rows.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("label", "of_b"), ("runs", "runs_b"), ("bits", "bits_b"))])
+    near = one.join(other, "key").filter("a < b and of_a <> of_b").filter(_possible("runs_a", "bits_a", "runs_b", "bits_b"))
+    return near.select("a", "b", F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"))
 
-    Of each level: the key of the row's bucket, its size, and two centres; null from the level on at which the bucket is one group, or
-    after it was small.  The first is the smallest id; the other the smallest id of the share of members whose turn it is at that
-    level, so that a bucket which no level parts has another one at each; if there is none, the smallest id again.  Buckets of one level are parts of those of the level before, so
-    all levels are counted from the last one's, and rows are joined to their buckets once.
+
+def least_shared(n: int) -> int:
+    """Runs that a text of ``n`` runs shares with every similar one."""
+    return int(np.ceil(SIMILARITY * n - 1e-9))
+
+
+def rare_runs(runs: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The labelled runs of which two similar texts have one in common: as many of the rarest as not all similar texts share, and one.
+
+    ``frequent`` are sorted runs with their ``counts``; others are rarer.  The order is one for all texts: of the runs that two
+    similar texts share, the first in this order is among these of both, whatever the counts.
     """
-    keys = [f"key{i}" for i in levels]
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(len(levels)))
-    centres = [F.min(F.struct((turn != i % len(levels)).alias("late"), "doc_id", "label")).alias(f"centre{i}") for i in levels]
-    centres.append(F.min(F.struct("doc_id", "label")).alias("first"))
-    parts = rows.groupBy(*keys).agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), *centres)
-    parts = stored(parts)
-    open_parts, going_on = parts.select(*keys), F.lit(True)
-    for i, key in zip(levels, keys):
-        buckets = parts.groupBy(key).agg(F.sum("size").alias("size"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first"), F.min(f"centre{i}").alias("centre"))
-        buckets = buckets.filter("low < high").select(key, *[F.col(c).alias(f"{c}{i}") for c in ("size", "first", "centre")])
-        open_parts = open_parts.join(buckets, key, "left")
-        for c in (f"size{i}", f"first{i}", f"centre{i}"):
-            open_parts = open_parts.withColumn(c, F.when(going_on, F.col(c)))
-        going_on = F.col(f"size{i}") > SMALL
-    open_parts = open_parts.filter(F.col(f"size{levels[0]}").isNotNull()).drop(*keys[:-1])
-    return rows.join(open_parts, keys[-1])
-
-
-def _asked(rows: DataFrame, levels: list[int], marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of different groups that open buckets ask for, and the rows ``(doc_id, at, key)`` that stay: those of buckets large at all levels, but for centres.
-
-    Small buckets ask for no pair whose bitmaps ``(doc_id, runs, bits)`` say that it cannot be similar.
+    x = labelled(runs)
+    count = np.zeros(len(x), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)
+        count = np.where(frequent[at] == x, counts[at], 0)
+    return x[np.lexsort((x, count))[: len(x) - least_shared(len(x)) + 1]]
+
+
+def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that several of about ``ORDERED_BY`` texts have, sorted, with their counts; at most ``FREQUENT``, the most frequent."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                x = labelled(runs_of(words_of(text))).view(np.int64)
+                yield from (pd.DataFrame({"run": x[low : low + _BLOCK]}) for low in range(0, len(x), _BLOCK))
+
+    share = max(1, texts.count() // ORDERED_BY)
+    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text").mapInPandas(run, "run long")
+    rows = some.groupBy("run").count().filter("count > 1").orderBy(F.desc("count"), "run").limit(FREQUENT).collect()
+    runs, counts = np.array([r["run"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+    order = np.argsort(runs)
+    return runs[order], counts[order]
+
+
+def _rare_parts(texts: DataFrame) -> DataFrame:
+    """Rows ``(doc_id, label, key)`` of ``(doc_id, label, text)``: a key for each of a text's ``rare_runs``."""
+    frequent, counts = _frequent(texts)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for low in range(0, len(batch), 64):
+                part = batch.iloc[low : low + 64]
+                found = [rare_runs(runs_of(words_of(text)), frequent, counts).view(np.int64) for text in part["text"]]
+                number = [len(keys) for keys in found]
+                ids, labels = (np.repeat(part[c].to_numpy(np.int64), number) for c in ("doc_id", "label"))
+                yield pd.DataFrame({"doc_id": ids, "label": labels, "key": np.concatenate(found)})
+
+    return texts.select("doc_id", "label", "text").mapInPandas(run, "doc_id long, label long, key long")
+
+
+def _similar_rare(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different groups ``(x, y)`` that share a rare run and whose bitmaps allow the similarity.
+
+    All similar pairs of different groups of ``(doc_id, label, text)`` are there; ``marks`` are ``(doc_id, runs, bits)``.  Parts of one
+    group are left out before they are joined.  The pairs of a large part are tried in the join, which Spark splits; no task gathers them.
     """
-    pairs, small, stay = [], [], F.col(f"size{levels[-1]}") > SMALL
-    for i in levels:
-        size = F.col(f"size{i}")
-        small.append(F.when(size <= SMALL, F.col(f"key{i}")))
-        for centre in (F.col(f"first{i}"), F.col(f"centre{i}")):
-            met = rows.filter((size > SMALL) & (F.col("label") != centre["label"]))
-            pairs.append(met.select(F.least("doc_id", centre["doc_id"]).alias("a"), F.greatest("doc_id", centre["doc_id"]).alias("b")))
-            stay &= F.col("doc_id") != centre["doc_id"]
-    small = rows.select("doc_id", "label", F.coalesce(*small).alias("key")).filter("key is not null").join(marks, "doc_id")
-    one = small.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "a"), ("label", "of_a"), ("runs", "runs_a"), ("bits", "bits_a"))])
-    other = small.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("label", "of_b"), ("runs", "runs_b"), ("bits", "bits_b"))])
-    near = one.join(other, "key").filter("a < b and of_a <> of_b").filter(_possible("runs_a", "bits_a", "runs_b", "bits_b"))
-    asked = near.select("a", "b")
-    for more in pairs:
-        asked = asked.union(more)
-    return asked, rows.filter(stay).select("doc_id", "at", F.col(f"key{levels[-1]}").alias("key"))
+    rows = stored(_rare_parts(texts))
+    parts = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    return _met(stored(rows.join(parts.select("key"), "key").join(marks, "doc_id"))).distinct()
+
+
+def _differing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose groups differ, with these as ``x`` and ``y``, x < y."""
+    named = pairs.join(labels.toDF("a", "of_a"), "a").join(labels.toDF("b", "of_b"), "b").filter("of_a <> of_b")
+    return named.select("a", "b", F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"))
 
 
 def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links ``(a, b)`` that connect near-duplicates among ``(doc_id, sketches, minima, left_out, runs, bits)`` and their ``(doc_id, text)``.
+    """Verified links ``(a, b)`` that connect near-duplicates among ``(doc_id, sketches, left_out, runs, bits)`` and their ``(doc_id, text)``.
 
     In each bucket of equal sketches the member of smallest id is the centre, and every other member is
     aligned with it: one pair for each member, however large the bucket.  A centre that met all leaves; the
     others, aligned or not, stay until links make them one group.  Of a bucket that is open then, all pairs
-    of different groups are aligned if it has at most ``SMALL`` members.  A larger one gets ``HUBS`` more
-    centres.  After these it is parted by one more minimum of its members at a time, into one bucket for each member,
-    so rows never multiply, and each part gets its centres; ``STRIDE`` such steps are one turn, with one join of rows to buckets.  Texts that have only a passage in common are told apart by the first
-    minimum that lies outside of it, and near-duplicates meet in a small part by one that they share there.
-    Pairs whose bitmaps differ in more bits than similar texts can are not aligned; this refuses no similar pair, and
-    so changes no link.  When no minimum is left, members stay together and get a centre a turn.  It ends when no bucket is open; none is capped or gathered.
+    of different groups are aligned if it has at most ``SMALL`` members.  A larger one gets ``HUBS`` more centres.
+
+    What is left in large open buckets is searched whole: of two similar texts each shares at least ``least_shared`` of its
+    runs with the other, so in any one order of all runs they have one in common among the first that
+    are more than the rest.  These texts meet by each of these runs, rare ones first, and all pairs of different
+    groups are candidates: no pair of a large bucket is left out, and a passage that many texts have is met only where it
+    fills more than the similarity allows to differ.  The candidates wait in a table; of each two groups one pair is aligned, in each
+    further turn ``MORE`` times as many, until none is left of different groups.  Where there are few, all are aligned at once.
 
-    Two texts of similarity 0.8 share a sketch with 0.33, so about 10 of 32 buckets, and stay together in each through a
-    minimum with 0.8.  If a tenth of their runs lies outside of what their whole bucket shares, five such
-    meetings are expected whatever the bucket's size, none with a probability of 0.7 %.
+    Pairs whose bitmaps differ in more bits than similar texts can are not aligned; this refuses no similar pair, and
+    so changes no link.  None is capped or gathered.  Two texts of similarity 0.8 share a sketch with 0.33, so about 10 of 32 buckets.
 
     A text of few runs is also aligned with all that have one run more in its order: these meet by what is left
     of them without that run.
     """
-    held = sketched.filter("sketches is not null").select("doc_id", "sketches", "minima")
+    held = sketched.filter("sketches is not null").select("doc_id", "sketches")
     whole = sketched.filter("left_out is not null").select(F.col("doc_id").alias("whole"), F.col("left_out")[0].alias("key"))
     fewer = sketched.filter("left_out is not null").select("doc_id", F.explode(F.slice("left_out", 2, LEFT_OUT)).alias("key"))
     short = whole.join(fewer, "key").filter("whole <> doc_id")
     short = short.select(F.least("whole", "doc_id").alias("a"), F.greatest("whole", "doc_id").alias("b"))
     rows = held.select("doc_id", F.posexplode("sketches").alias("at", "sketch")).withColumn("key", F.xxhash64("at", "sketch"))
-    rows = stored(rows.select("doc_id", "at", "key"))
+    rows = stored(rows.select("doc_id", "key"))
     centres = rows.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).filter("last > centre")
     rest = stored(rows.join(centres.drop("last"), "key").filter("doc_id > centre"))
     drop_stored(rows)
@@ -336,12 +372,12 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
         return pairs
     ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     involved = stored(texts.join(ids, "doc_id", "left_semi"))
-    minima = stored(held.select("doc_id", "minima").join(ids, "doc_id", "left_semi"))
     marks = stored(sketched.select("doc_id", "runs", "bits").join(ids, "doc_id", "left_semi"))
     mark_a, mark_b = marks.toDF("a", "runs_a", "bits_a"), marks.toDF("b", "runs_b", "bits_b")
     labels = ids.select("doc_id", F.col("doc_id").alias("label"))
-    tried = found = bonds = None
-    hubs, level = HUBS, 0
+    rest = rest.select("doc_id", "key")
+    tried = found = bonds = waiting = None
+    hubs, share = HUBS, 1
     while True:
         near = pairs.join(mark_b, "b").join(mark_a, "a").filter(_possible("runs_a", "bits_a", "runs_b", "bits_b")).select("a", "b")
         right = near.join(involved.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b")
@@ -354,25 +390,28 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
         for _ in range(HOPS):
             if not bonds.isEmpty():
                 labels, bonds = _merge(labels, bonds)
-        rows, levels = rest.select("doc_id", "at", "key").join(labels, "doc_id"), [level]
-        if hubs:
-            hubs -= 1
-        elif level + 1 < SKETCHES:
-            levels = list(range(level + 1, min(SKETCHES, level + 1 + STRIDE)))
-            level = levels[-1]
-            rows = rows.join(minima, "doc_id")
-            for i in levels:
-                rows = rows.withColumn("key", F.xxhash64("key", F.get("minima", ((F.col("at") + i) % SKETCHES).cast("int")))).withColumn(f"key{i}", F.col("key"))
-        if f"key{level}" not in rows.columns:
-            rows = rows.withColumn(f"key{level}", F.col("key"))
-        rows = stored(rows.select("doc_id", "at", "label", *[f"key{i}" for i in levels]))
-        met = stored(_open(rows, levels))
-        wanted, staying = _asked(met, levels, marks)
-        pairs = stored(wanted.distinct().join(tried, ["a", "b"], "left_anti"))
-        after = stored(staying)
-        drop_stored(rest)
-        rest = after
-        if pairs.isEmpty() and rest.isEmpty():
+        if waiting is None:
+            met = stored(_open(rest.join(labels, "doc_id")))
+            if hubs:
+                hubs -= 1
+                wanted, rest = _asked(met, marks)
+                pairs = stored(wanted.distinct().join(tried, ["a", "b"], "left_anti"))
+                rest = stored(rest)
+                if pairs.isEmpty() and rest.isEmpty():
+                    return found
+                continue
+            left = stored(met.select("doc_id", "label").distinct())
+            if left.isEmpty():
+                return found
+            waiting = stored(_similar_rare(stored(involved.join(left, "doc_id")), marks).join(tried, ["a", "b"], "left_anti"))
+        else:
+            waiting = stored(_differing(waiting.join(pairs, ["a", "b"], "left_anti"), labels))
+        pairs = waiting
+        if waiting.count() > ids.count():
+            place = F.row_number().over(Window.partitionBy("x", "y").orderBy("a", "b"))
+            pairs = waiting.withColumn("place", place).filter(F.col("place") <= share)
+        pairs, share = stored(pairs.select("a", "b")), share * MORE
+        if pairs.isEmpty():
             return found
 
 
@@ -391,7 +430,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     heads = stored(copies.groupBy("digest").agg(F.min("doc_id").alias("head")))
     # an id that speaks for its copies, once: rows that share an id, which should not be, share a class as well
     chosen = copies.join(heads, "digest").filter("doc_id = head")
-    chosen = stored(chosen.groupBy("doc_id").agg(*[F.min_by(c, "digest").alias(c) for c in ("sketches", "minima", "left_out", "runs", "bits")]))
+    chosen = stored(chosen.groupBy("doc_id").agg(*[F.min_by(c, "digest").alias(c) for c in ("sketches", "left_out", "runs", "bits")]))
     several = copies.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     texts = named.filter("text is not null and doc_id is not null")
     doubled = texts.join(several, "doc_id", "left_semi")

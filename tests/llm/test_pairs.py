@@ -383,3 +383,49 @@ def test_planted_pairs_among_texts_of_one_template(spark, monkeypatch):
     found = {r.doc_id: r.class_id for r in order_minhash.classes(docs).collect()}
     assert sum(found[i + 1000] == found[i] == i for i in range(150)) >= 149
     assert len(set(found.values())) <= 151
+
+
+def test_rare_runs_meet_whatever_the_order():
+    rng = random.Random(3)
+    tried = 0
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        a = np.array([rng.getrandbits(64) for _ in range(n)], np.uint64)
+        b = np.delete(a, rng.sample(range(n), rng.randint(0, n // 5)))
+        b = np.r_[b, np.array([rng.getrandbits(64) for _ in range(rng.randint(0, n // 5))], np.uint64)]
+        if order_minhash.alignment(a, b) == 0:
+            continue
+        tried += 1
+        known = np.sort(order_minhash.labelled(a)[: rng.randint(0, n)])
+        counts = np.array([rng.randint(2, 9) for _ in known], np.int64)
+        x, y = (order_minhash.rare_runs(runs, known, counts) for runs in (a, b))
+        assert len(np.intersect1d(x, y)) > 0
+    assert tried > 1000
+
+
+def test_no_pair_of_a_large_bucket_is_lost(spark, monkeypatch):
+    """All texts meet in one large bucket alone and share no minimum, by which large buckets were parted; all similar pairs are linked."""
+    monkeypatch.setattr(order_minhash, "SMALL", 2)
+    rng = random.Random(4)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+
+    template, texts = words(160), {}
+    for i in range(200):
+        texts[i] = template + words(24)
+        twin = list(texts[i])
+        twin[165:166] = words(1)
+        twin[-4:] = words(4)
+        texts[i + 1000] = twin
+    runs = {i: order_minhash.runs_of(text) for i, text in texts.items()}
+    want, links = _brute_force({i: " ".join(text) for i, text in texts.items()})
+    assert len(links) == 200
+    ids = sorted(texts)
+    docs = spark.createDataFrame([(i, " ".join(texts[i])) for i in ids], "doc_id long, text string")
+    sketched = spark.createDataFrame(
+        [(i, [7], [32 * i + j for j in range(32)], None, len(runs[i]), order_minhash.bitmap(runs[i]).tolist()) for i in ids],
+        "doc_id long, sketches array<long>, minima array<long>, left_out array<long>, runs int, bits array<long>",
+    )
+    found = [(r.a, r.b) for r in order_minhash.links(sketched, docs).collect()]
+    assert sorted(found) == links and _roots(ids, found) == want
