@@ -26,7 +26,7 @@ SHORT = 40  # runs; above, sketches of PICKED runs reach the stated probability
 LEFT_OUT = 9  # runs of a text up to which no two similar ones differ by more than one run on either side
 SIMILARITY = 0.8
 SMALL = 64  # members of a bucket whose pairs of different groups are all aligned
-HUBS = 1  # turns in which a larger bucket gets a further centre before rare runs decide
+HUBS = 4  # turns in which a larger bucket gets a further centre before rare runs decide
 HOPS = 2  # times that groups are merged along their links in one turn
 MORE = 4  # from turn to turn, times as many pairs of two groups are aligned
 ORDERED_BY = 512  # texts whose runs are counted to tell frequent ones
