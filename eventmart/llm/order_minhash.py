@@ -26,7 +26,7 @@ SHORT = 40  # runs; above, sketches of PICKED runs reach the stated probability
 LEFT_OUT = 9  # runs of a text up to which no two similar ones differ by more than one run on either side
 SIMILARITY = 0.8
 SMALL = 64  # members of a bucket whose pairs of different groups are all aligned
-HUBS = 4  # turns in which a larger bucket gets a further centre before rare runs decide
+HUBS = 1  # turns in which a larger bucket gets a further centre before rare runs decide
 HOPS = 2  # times that groups are merged along their links in one turn
 MORE = 4  # from turn to turn, times as many pairs of two groups are aligned
 ORDERED_BY = 512  # texts whose runs are counted to tell frequent ones
@@ -194,15 +194,19 @@ def _sketched(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, SKETCHED)
 
 
+def _least(runs_a: str, runs_b: str) -> Column:
+    """Runs that two similar texts have in common at least."""
+    return F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col(runs_a) + F.col(runs_b)) - F.lit(1e-9))
+
+
 def _possible(runs_a: str, bits_a: str, runs_b: str, bits_b: str) -> Column:
     """Whether two texts can be similar by their bitmaps; none that ``alignment`` accepts is refused.
 
     Texts of n and m runs that align to the similarity have at least s / (1 + s) * (n + m) runs in common,
     so at most n + m less twice as many are in one of them only, and no more bits differ.
     """
-    total = F.col(runs_a) + F.col(runs_b)
+    total, least = F.col(runs_a) + F.col(runs_b), _least(runs_a, runs_b)
     differ = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(1, BITS // 64)), F.bit_count(F.col(bits_a)[0].bitwiseXOR(F.col(bits_b)[0])))
-    least = F.ceil(F.lit(SIMILARITY / (1 + SIMILARITY)) * total - F.lit(1e-9))
     return (F.least(runs_a, runs_b) >= least) & (differ <= total - 2 * least)
 
 
@@ -260,10 +264,19 @@ def _asked(rows: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """All pairs ``(a, b)`` of different groups ``(x, y)``, x < y, in the parts of ``(key, doc_id, label, runs, bits)`` whose bitmaps allow the similarity."""
-    one = rows.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "a"), ("label", "of_a"), ("runs", "runs_a"), ("bits", "bits_a"))])
-    other = rows.select("key", *[F.col(c).alias(n) for c, n in (("doc_id", "b"), ("label", "of_b"), ("runs", "runs_b"), ("bits", "bits_b"))])
-    near = one.join(other, "key").filter("a < b and of_a <> of_b").filter(_possible("runs_a", "bits_a", "runs_b", "bits_b"))
+    """All pairs ``(a, b)`` of different groups ``(x, y)``, x < y, in the parts of ``(key, doc_id, label, runs, bits)`` whose bitmaps allow the similarity.
+
+    Rows may have ``behind``, the runs of the text from the key on in an order that all texts share.  Where a pair meets by the first of its
+    common runs, all of these are among them; where fewer are left than similar texts have in common, the pair either is not similar or has
+    met by an earlier run, so it is not made again.
+    """
+    placed = [c for c in ("behind",) if c in rows.columns]
+    names = {"doc_id": "", "label": "of_", "runs": "runs_", "bits": "bits_"} | {c: f"{c}_" for c in placed}
+    one, other = (rows.select("key", *[F.col(c).alias(f"{n}{side}") for c, n in names.items()]) for side in "ab")
+    near = one.join(other, "key").filter("a < b and of_a <> of_b")
+    if placed:
+        near = near.filter(F.least("behind_a", "behind_b") >= _least("runs_a", "runs_b"))
+    near = near.filter(_possible("runs_a", "bits_a", "runs_b", "bits_b"))
     return near.select("a", "b", F.least("of_a", "of_b").alias("x"), F.greatest("of_a", "of_b").alias("y"))
 
 
@@ -304,30 +317,33 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rare_parts(texts: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, label, key)`` of ``(doc_id, label, text)``: a key for each of a text's ``rare_runs``."""
+    """Rows ``(doc_id, label, key, behind, runs, bits)`` of ``(doc_id, label, text)``: a key for each of a text's ``rare_runs``, and the runs from it on."""
     frequent, counts = _frequent(texts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for low in range(0, len(batch), 64):
                 part = batch.iloc[low : low + 64]
-                found = [rare_runs(runs_of(words_of(text)), frequent, counts).view(np.int64) for text in part["text"]]
+                runs = [runs_of(words_of(text)) for text in part["text"]]
+                found = [rare_runs(x, frequent, counts).view(np.int64) for x in runs]
                 number = [len(keys) for keys in found]
                 ids, labels = (np.repeat(part[c].to_numpy(np.int64), number) for c in ("doc_id", "label"))
-                yield pd.DataFrame({"doc_id": ids, "label": labels, "key": np.concatenate(found)})
+                behind = np.concatenate([len(x) - np.arange(n, dtype=np.int32) for x, n in zip(runs, number)])
+                lengths = np.repeat(np.array([len(x) for x in runs], np.int32), number)
+                bits = pd.Series([bitmap(x) for x in runs]).repeat(number).to_numpy()
+                yield pd.DataFrame({"doc_id": ids, "label": labels, "key": np.concatenate(found), "behind": behind, "runs": lengths, "bits": bits})
 
-    return texts.select("doc_id", "label", "text").mapInPandas(run, "doc_id long, label long, key long")
+    return texts.select("doc_id", "label", "text").mapInPandas(run, "doc_id long, label long, key long, behind int, runs int, bits array<long>")
 
 
-def _similar_rare(texts: DataFrame, marks: DataFrame) -> DataFrame:
+def _similar_rare(texts: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of different groups ``(x, y)`` that share a rare run and whose bitmaps allow the similarity.
 
-    All similar pairs of different groups of ``(doc_id, label, text)`` are there; ``marks`` are ``(doc_id, runs, bits)``.  Parts of one
-    group are left out before they are joined.  The pairs of a large part are tried in the join, which Spark splits; no task gathers them.
+    All similar pairs of different groups of ``(doc_id, label, text)`` are there.  Parts of one group are left out before they are joined.  The pairs of a large part are tried in the join, which Spark splits; no task gathers them.
     """
     rows = stored(_rare_parts(texts))
     parts = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    return _met(stored(rows.join(parts.select("key"), "key").join(marks, "doc_id"))).distinct()
+    return _met(stored(rows.join(parts.select("key"), "key"))).distinct()
 
 
 def _differing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -342,7 +358,7 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
     In each bucket of equal sketches the member of smallest id is the centre, and every other member is
     aligned with it: one pair for each member, however large the bucket.  A centre that met all leaves; the
     others, aligned or not, stay until links make them one group.  Of a bucket that is open then, all pairs
-    of different groups are aligned if it has at most ``SMALL`` members.  A larger one gets ``HUBS`` more centres.
+    of different groups are aligned if it has at most ``SMALL`` members.  A larger one gets ``HUBS`` further centres.
 
     What is left in large open buckets is searched whole: of two similar texts each shares at least ``least_shared`` of its
     runs with the other, so in any one order of all runs they have one in common among the first that
@@ -391,7 +407,7 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
             if not bonds.isEmpty():
                 labels, bonds = _merge(labels, bonds)
         if waiting is None:
-            met = stored(_open(rest.join(labels, "doc_id")))
+            met = stored(_open(stored(rest.join(labels, "doc_id"))))
             if hubs:
                 hubs -= 1
                 wanted, rest = _asked(met, marks)
@@ -403,7 +419,7 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
             left = stored(met.select("doc_id", "label").distinct())
             if left.isEmpty():
                 return found
-            waiting = stored(_similar_rare(stored(involved.join(left, "doc_id")), marks).join(tried, ["a", "b"], "left_anti"))
+            waiting = stored(_similar_rare(stored(involved.join(left, "doc_id"))).join(tried, ["a", "b"], "left_anti"))
         else:
             waiting = stored(_differing(waiting.join(pairs, ["a", "b"], "left_anti"), labels))
         pairs = waiting

@@ -429,3 +429,26 @@ def test_no_pair_of_a_large_bucket_is_lost(spark, monkeypatch):
     )
     found = [(r.a, r.b) for r in order_minhash.links(sketched, docs).collect()]
     assert sorted(found) == links and _roots(ids, found) == want
+
+
+def test_a_pair_is_not_made_again_by_every_run(spark):
+    """All similar pairs of one large part are made, by the first of their rare runs and few others."""
+    rng = random.Random(6)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+
+    template, texts = words(150), {}
+    for i in range(20):
+        texts[i] = template + words(40)
+        texts[i + 100] = texts[i][:-3] + words(3)
+    texts = {i: " ".join(text) for i, text in texts.items()}
+    _, links = _brute_force(texts)
+    assert len(links) == 20
+    labelled = spark.createDataFrame([(i, i, text) for i, text in texts.items()], "doc_id long, label long, text string")
+    rows = order_minhash._rare_parts(labelled).cache()
+    again = order_minhash._met(rows.drop("behind"))
+    made = order_minhash._met(rows)
+    assert made.count() < 0.7 * again.count()
+    assert {(r.a, r.b) for r in made.collect()} >= {(min(x), max(x)) for x in links}
+    assert {(r.a, r.b) for r in order_minhash._similar_rare(labelled).collect()} == {(r.a, r.b) for r in made.collect()}
