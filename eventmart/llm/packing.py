@@ -7,6 +7,7 @@ neither texts nor ids are shuffled.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import re
@@ -89,6 +90,12 @@ class WordIds:
         return np.asarray(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
+@functools.lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """The word ids of a tokenizer, kept by a Python worker from task to task, so that it learns a word form once."""
+    return WordIds(path)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -100,7 +107,7 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, end = WordIds(tokenizer), np.asarray([end_id], "<u4").tobytes()
+        words, end = word_ids(tokenizer), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.iloc[low : low + 256]

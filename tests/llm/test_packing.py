@@ -88,3 +88,10 @@ def test_pack_lengths_and_checksum(documents):
 
 def test_empty_table(none):
     assert packing.pack(none, TOKENIZER).count() == 0
+
+
+def test_a_worker_keeps_its_word_ids():
+    words = packing.word_ids(TOKENIZER)
+    assert words.encode(["Odd words, odd"]) == packing.WordIds(TOKENIZER).encode(["Odd words, odd"])
+    assert packing.word_ids(TOKENIZER) is words
+    assert "Odd" in packing.word_ids(TOKENIZER)._chunks
