@@ -43,20 +43,33 @@ def flatten_sessions(sessions: DataFrame, since: Instant | None = None) -> DataF
     """
     new = newer_than(sessions, since)
     nested = {name: as_variant(new, name) for name in ("device", "location", "events")}
+    # what a session has once is taken from its variants before its events are exploded
     flat = (
         new.withColumns(nested)
-        .select("*", F.posexplode(F.try_variant_get("events", "$", "array<variant>")).alias("_position", "_event"))
         .select(
             "session_id",
             "user_id",
             "start_time",
             "end_time",
-            F.lower(text_at("_event", "$.type")).alias("event_type"),
-            text_at("_event", "$.product_id").alias("product_id"),
             text_at("device", "$.browser").alias("browser"),
             text_at("device", "$.os").alias("operating_system"),
             text_at("location", "$.country").alias("country"),
             text_at("location", "$.city").alias("city"),
+            "ingested_at",
+            F.try_variant_get("events", "$", "array<variant>").alias("_events"),
+        )
+        .select("*", F.posexplode("_events").alias("_position", "_event"))
+        .select(
+            "session_id",
+            "user_id",
+            "start_time",
+            "end_time",
+            F.lower(text_at("_event", "$.type")).alias("event_type"),
+            text_at("_event", "$.product_id").alias("product_id"),
+            "browser",
+            "operating_system",
+            "country",
+            "city",
             text_at("_event", "$.timestamp").cast("timestamp_ntz").alias("event_timestamp"),
             "ingested_at",
             "_position",

@@ -201,3 +201,10 @@ def test_registered_tables_list_only_what_is_read(spark, striped, tmp_path):
     finally:
         for name in layout.tables:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_values_of_a_session_are_taken_once_not_per_event(spark):
+    text = plan(em.flatten_sessions(adapter.bronze_sessions(spark, SF_DIR)))
+    below = text.index("Generate posexplode")
+    assert text.index("try_variant_get(device") > below
+    assert text.index("try_variant_get(location") > below
