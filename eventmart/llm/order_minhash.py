@@ -32,9 +32,11 @@ MORE = 4  # from turn to turn, times as many pairs of two groups are aligned
 ORDERED_BY = 512  # texts whose runs are counted to tell frequent ones
 FREQUENT = 1 << 14  # runs at most that are known to be frequent
 BITS = 512  # of a bitmap of a text's runs
+CLASSES = 1 << 27  # of rare runs at most; 16 MB tell the classes with several from the others
 
 _WORDS = re.compile(r"\w+")
 _BLOCK = 1 << 19  # hashes of a long text that are looked at together
+_PART = 1 << 20  # classes of rare runs that are counted together
 
 
 def words_of(text: str) -> list[str]:
@@ -316,19 +318,74 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return runs[order], counts[order]
 
 
+def _classes_of(runs: np.ndarray, classes: int) -> np.ndarray:
+    return (runs & np.uint64(classes - 1)).astype(np.int64)
+
+
+def _repeated(texts: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Little-endian bits: the classes that hold several of the ``rare_runs`` of all texts; a run of another class is in one text only.
+
+    There are about ten times as many classes as runs, up to ``CLASSES``; beyond, more classes hold several, and fewer runs are told to be
+    in one text.  No run of two texts ever is.
+    """
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    classes = min(CLASSES, max(_PART, 1 << (size // 4).bit_length()))
+
+    def packed(held: list[np.ndarray]) -> pd.DataFrame:
+        found, number = np.unique(np.concatenate(held), return_counts=True)
+        found = np.repeat(found, np.minimum(number, 2))
+        cut = np.flatnonzero(np.diff(found // _PART)) + 1
+        parts = [x for x in np.split(found, cut) if len(x)]
+        return pd.DataFrame({"part": [x[0] // _PART for x in parts], "held": [(x % _PART).astype(np.uint32).tobytes() for x in parts]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, number = [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                held.append(_classes_of(rare_runs(runs_of(words_of(text)), frequent, counts), classes))
+                number += len(held[-1])
+                if number >= _BLOCK:
+                    yield packed(held)
+                    held, number = [], 0
+        if held:
+            yield packed(held)
+
+    def several(rows: pd.DataFrame) -> pd.DataFrame:
+        number = np.zeros(_PART, np.int64)
+        for held in rows["held"]:
+            found, times = np.unique(np.frombuffer(held, np.uint32), return_counts=True)
+            number[found] += times
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "bits": [np.packbits(number > 1, bitorder="little").tobytes()]})
+
+    out = np.zeros(classes // 8, np.uint8)
+    sent = texts.select("text").mapInPandas(run, "part int, held binary")
+    for r in sent.groupBy("part").applyInPandas(several, "part int, bits binary").collect():
+        out[r["part"] * (_PART // 8) : (r["part"] + 1) * (_PART // 8)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def _rare_parts(texts: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, label, key, behind, runs, bits)`` of ``(doc_id, label, text)``: a key for each of a text's ``rare_runs``, and the runs from it on."""
+    """Rows ``(doc_id, label, key, behind, runs, bits)`` of ``(doc_id, label, text)``: a key for each of a text's ``rare_runs`` that another may have, and the runs from it on.
+
+    Most of the rarest runs are in one text only, by which no two texts meet; rows of these are not made.
+    """
     frequent, counts = _frequent(texts)
+    repeated = _repeated(texts, frequent, counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for low in range(0, len(batch), 64):
                 part = batch.iloc[low : low + 64]
                 runs = [runs_of(words_of(text)) for text in part["text"]]
-                found = [rare_runs(x, frequent, counts).view(np.int64) for x in runs]
+                found, places = [], []
+                for x in runs:
+                    keys = rare_runs(x, frequent, counts)
+                    at = _classes_of(keys, len(repeated) * 8)
+                    places.append(np.flatnonzero(repeated[at >> 3] >> (at & 7) & 1).astype(np.int32))
+                    found.append(keys[places[-1]].view(np.int64))
                 number = [len(keys) for keys in found]
                 ids, labels = (np.repeat(part[c].to_numpy(np.int64), number) for c in ("doc_id", "label"))
-                behind = np.concatenate([len(x) - np.arange(n, dtype=np.int32) for x, n in zip(runs, number)])
+                behind = np.concatenate([np.int32(len(x)) - at for x, at in zip(runs, places)])
                 lengths = np.repeat(np.array([len(x) for x in runs], np.int32), number)
                 bits = pd.Series([bitmap(x) for x in runs]).repeat(number).to_numpy()
                 yield pd.DataFrame({"doc_id": ids, "label": labels, "key": np.concatenate(found), "behind": behind, "runs": lengths, "bits": bits})

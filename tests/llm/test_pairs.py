@@ -452,3 +452,40 @@ def test_a_pair_is_not_made_again_by_every_run(spark):
     assert made.count() < 0.7 * again.count()
     assert {(r.a, r.b) for r in made.collect()} >= {(min(x), max(x)) for x in links}
     assert {(r.a, r.b) for r in order_minhash._similar_rare(labelled).collect()} == {(r.a, r.b) for r in made.collect()}
+
+
+@pytest.mark.parametrize("classes", [1 << 27, 1 << 10])
+def test_rows_are_made_of_runs_that_two_texts_have(spark, monkeypatch, classes):
+    """Of the rare runs only those that other texts have make rows, none of these is missing, and rows grow with the members of a group."""
+    monkeypatch.setattr(order_minhash, "CLASSES", classes)
+    monkeypatch.setattr(order_minhash, "_PART", min(1 << 20, classes))
+    rng = random.Random(8)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+
+    template, texts = words(150), {}
+    for i in range(60):
+        texts[i] = template + words(40)
+        if i % 10 == 0:
+            texts[i + 100] = texts[i][:-3] + words(3)
+    made = {}
+    for members in (30, 60):
+        some = {i: " ".join(text) for i, text in texts.items() if i % 100 < members}
+        labelled = spark.createDataFrame([(i, i, text) for i, text in some.items()], "doc_id long, label long, text string").repartition(3)
+        frequent, counts = order_minhash._frequent(labelled)
+        want, every = set(), []
+        for i, text in some.items():
+            x = order_minhash.runs_of(order_minhash.words_of(text))
+            keys = order_minhash.rare_runs(x, frequent, counts).view(np.int64).tolist()
+            every += [(i, key, len(x) - at) for at, key in enumerate(keys)]
+        by_key = {}
+        for i, key, _ in every:
+            by_key.setdefault(key, set()).add(i)
+        want = {row for row in every if len(by_key[row[1]]) > 1}
+        got = [(r.doc_id, r.key, r.behind) for r in order_minhash._rare_parts(labelled).collect()]
+        assert len(got) == len(set(got)) and want <= set(got) <= set(every)
+        made[members] = len(got)
+        if classes > 1 << 20:
+            assert len(want) < len(every) / 2 and len(got) < len(want) + 0.01 * len(every)
+    assert made[60] < 2.6 * made[30]
